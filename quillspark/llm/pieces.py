@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +51,7 @@ def _code_blocks(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             block = uuid.uuid4().hex[:16]
             pieces = batch.column("_pieces")
             flat = pieces.flatten().dictionary_encode()
-            sizes = pa.compute.fill_null(pa.compute.list_value_length(pieces), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            sizes = pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(sizes)
             codes = flat.indices.to_numpy(zero_copy_only=False).astype(np.uint32)
             if len(flat.dictionary) <= 1 << 16:
@@ -112,7 +113,7 @@ def _codes_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """All codes of a block's documents in a row, and how many each document has."""
     column = table.column("_codes").combine_chunks()
     wide = table.column("_wide")[0].as_py()
-    sizes = pa.compute.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
     data = b"".join(column.to_pylist())
     return np.frombuffer(data, np.uint32 if wide else np.uint16), sizes // (4 if wide else 2)
 
@@ -126,7 +127,7 @@ def ids_by_position(documents: DataFrame, dictionary: DataFrame, words: DataFram
         codes, per_document = _codes_of(left)
         order = np.argsort(right.column("_code").to_numpy())
         lists = right.column("ids").combine_chunks().take(pa.array(order))
-        counts = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         starts = np.concatenate([[0], np.cumsum(counts)])
         flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32) if len(lists) else np.zeros(0, np.int32)
         lengths = counts[codes] if len(codes) else np.zeros(0, np.int64)

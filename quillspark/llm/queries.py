@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import corpus_encoding, packing, token_budget
+from quillspark.llm import corpus_encoding, packing, shared_spans, similar_vectors, token_budget
 from quillspark.sources.tables import table
 
 
@@ -49,14 +49,39 @@ def p9_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill(_packed(spark, folder), _kinds(spark, folder))
 
 
+def _neighbours(spark: SparkSession, folder: str, least: float) -> DataFrame:
+    records = table(spark, folder, "chunk_vectors").where(F.col("embedding_model") == "vec-small-2")
+    return similar_vectors.nearest(records, dim=128, k=5, least=least)
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_vectors.similar_pairs(_neighbours(spark, folder, 0.75), 0.75)
+
+
+def p3_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return _neighbours(spark, folder, -1.0)
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return shared_spans.shared_pairs(table(spark, folder, "documents"))
+
+
+def p10_share(spark: SparkSession, folder: str) -> DataFrame:
+    return shared_spans.shared_share(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p3_found": p3_found,
+        "p3_nearest": p3_nearest,
         "p5_found": p5_found,
         "p5_totals": p5_totals,
         "p8_ids": p8_ids,
         "p8_decoded": p8_decoded,
         "p9_containers": p9_containers,
         "p9_fill": p9_fill,
+        "p10_found": p10_found,
+        "p10_share": p10_share,
     }
 
 
