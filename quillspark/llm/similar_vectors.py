@@ -149,7 +149,7 @@ def _cell_neighbours(cell: pa.Table, centroids: np.ndarray, turn: np.ndarray, k:
 
 
 def nearest(
-    df: DataFrame, key: str = "id", embedding: str = "embedding", dim: int = 128, k: int = 5, least: float = -1.0, cells: int | None = None, overlap: int = 4,
+    df: DataFrame, key: str = "id", embedding: str = "embedding", dim: int = 128, k: int = 5, least: float = -1.0, cells: int | None = None, overlap: int = 3,
     sample: int = 20_000, block: int = 16_384, width: float = 2.5, tie: float = 1e-6,
 ) -> DataFrame:
     """``id, neighbour, similarity``: for every record the records that fewer than ``k`` others beat.
