@@ -15,7 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quillspark.llm.staging import staged
 
@@ -80,27 +79,16 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-_NODES = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("b", T.LongType()), T.StructField("a", T.LongType()), T.StructField("p", T.IntegerType())]))
-
-
-def _node_rows(least: int, k: int, key: str):
-    struct = pa.struct([("h", pa.int64()), ("b", pa.int64()), ("a", pa.int64()), ("p", pa.int32())])
-
+def _kmer_rows(least: int, k: int, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text")
-            here, before, after, place, sizes = [], [], [], [], []
-            for i in range(batch.num_rows):
-                at, hashes = picked_kmers(_points(column[i].as_py()), least, k)
-                signed = hashes.view(np.int64)
-                here.append(signed)
-                before.append(np.concatenate([[0], signed[:-1]]) if len(at) else signed)
-                after.append(np.concatenate([signed[1:], [0]]) if len(at) else signed)
-                place.append(at.astype(np.int32))
-                sizes.append(len(at))
-            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(x), t.type) for x, t in zip((here, before, after, place), struct)], fields=list(struct))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), flat)
-            yield pa.RecordBatch.from_pydict({key: batch.column(key), "same": batch.column("same"), "nodes": lists})
+            found = [picked_kmers(_points(column[i].as_py()), least, k) for i in range(batch.num_rows)]
+            ends = pa.array(np.concatenate([[0], np.cumsum([len(at) for at, _ in found])]), pa.int32())
+            places = pa.array(np.concatenate([at for at, _ in found]).astype(np.int32))
+            hashes = pa.array(np.concatenate([h for _, h in found]).view(np.int64))
+            lists = {"p": pa.ListArray.from_arrays(ends, places), "h": pa.ListArray.from_arrays(ends, hashes)}
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in (key, "same", "number")} | lists)
 
     return run
 
@@ -114,7 +102,8 @@ def _span_keys(least: int, k: int, edges: bool):
             for i in range(batch.num_rows):
                 nodes = sorted({n["p"]: n for n in batch.column("nodes")[i].as_py()}.values(), key=lambda n: n["p"])
                 points = _points(batch.column("text")[i].as_py())
-                full = window_hashes(points, least).view(np.int64)
+                kmers, full = window_hashes(points, k).view(np.int64), None
+                nodes = [n for n in nodes if n["p"] < len(kmers) and kmers[n["p"]] == n["h"]]
                 spans, last = [], None
                 for n in nodes:
                     if last is not None and n["b"] == last["h"] and n["p"] - last["p"] <= least - k + 1 and n["one_before"] and last["one_after"]:
@@ -131,34 +120,38 @@ def _span_keys(least: int, k: int, edges: bool):
                         ranges.append((end - least, start + 1))
                     if edges:  # and those that hold its first or last k-mer only
                         ranges += [(start - (least - k), start if whole else end - least), (end - least + 1 if whole else start + 1, end - k + 1)]
+                    if ranges and full is None:
+                        full = window_hashes(points, least).view(np.int64)
                     for low, high in ranges:
                         at = np.arange(max(0, low), min(len(full), high))
                         out["doc"].extend([i] * len(at)), out["key"].extend(full[at].tolist()), out["start"].extend(at.tolist()), out["length"].extend([least] * len(at))
             rows = pa.array(out["doc"], pa.int64())
-            yield pa.RecordBatch.from_pydict({"doc": batch.column("doc").take(rows), "span": pa.array(out["key"], pa.int64()), "start": pa.array(out["start"], pa.int32()), "length": pa.array(out["length"], pa.int32())})
+            yield pa.RecordBatch.from_pydict({"doc": batch.column("same").take(rows), "span": pa.array(out["key"], pa.int64()), "start": pa.array(out["start"], pa.int32()), "length": pa.array(out["length"], pa.int32())})
 
     return run
 
 
 def _repeated_spans(df: DataFrame, key: str, text: str, least: int, k: int, edges: bool) -> tuple[DataFrame, DataFrame]:
-    """``(doc, span, start, length)`` of one document for each different text, and ``(doc, key)`` of all."""
-    source = df.where(F.col(key).isNotNull() & (F.length(text) >= least)).select(F.col(key).alias("_key"), F.md5(text).alias("_md5"), F.col(text).alias("text"))
-    kind = source.schema["_key"].dataType
-    picked = source.select("_key", F.col("_md5").alias("same"), "text").mapInArrow(
-        _node_rows(least, k, "_key"), T.StructType([T.StructField("_key", kind), T.StructField("same", T.StringType()), T.StructField("nodes", _NODES)])
-    )
-    picked = staged(picked, "kmers")
-    classes = picked.groupBy("same").agg(F.min("_key").alias("doc"))
-    members = picked.select(F.col("_key").alias("key"), "same").join(classes, "same").select("doc", "key")
-    one = picked.join(classes.select(F.col("same").alias("_same"), "doc"), (F.col("same") == F.col("_same")) & (F.col("_key") == F.col("doc")), "left_semi")
-    nodes = one.select(F.col("_key").alias("doc"), F.explode("nodes").alias("n")).select("doc", "n.*")
-    stats = nodes.groupBy("h").agg(
-        F.min("doc").alias("_low"), F.max("doc").alias("_high"), (F.min("b") == F.max("b")).alias("one_before"), (F.min("a") == F.max("a")).alias("one_after")
-    ).where("_low < _high").select(F.col("h").alias("_h"), "one_before", "one_after")
-    repeated = nodes.join(stats, F.col("h") == F.col("_h")).groupBy("doc").agg(F.collect_list(F.struct("p", "h", "b", "one_before", "one_after")).alias("nodes"))
-    texts = source.select(F.col("_key").alias("_doc"), "text")
-    placed = repeated.join(texts, F.col("doc") == F.col("_doc")).select("doc", "nodes", "text")
-    spans = placed.mapInArrow(_span_keys(least, k, edges), T.StructType([T.StructField("doc", kind), T.StructField("span", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType())]))
+    """``(doc, span, start, length)`` of every different text, named by its digest, and ``(doc, key)`` of all rows.
+
+    Nodes are grouped by a short number of their text; what two texts of one number had in common by
+    chance falls away when the nodes are held against the source.
+    """
+    source = df.where(F.col(key).isNotNull() & (F.length(text) >= least)).select(F.col(key).alias("_key"), F.md5(text).alias("same"), F.xxhash64(text).alias("number"), F.col(text).alias("text"))
+    kind = source.schema["_key"].dataType.simpleString()
+    picked = staged(source.mapInArrow(_kmer_rows(least, k, "_key"), f"_key {kind}, same string, number bigint, p array<int>, h array<bigint>"), "kmers")
+    members = picked.select(F.col("same").alias("doc"), F.col("_key").alias("key")).distinct()
+    n = F.size("h")
+    zero = F.array(F.lit(0).cast("bigint"))
+    rows = F.arrays_zip(F.col("h"), F.concat(zero, F.slice("h", 1, n - 1)).alias("b"), F.concat(F.slice("h", 2, n - 1), zero).alias("a"), F.col("p"))
+    nodes = picked.where(n > 0).select("number", F.explode(rows).alias("n")).select("number", F.col("n.h").alias("h"), F.col("n.b").alias("b"), F.col("n.a").alias("a"), F.col("n.p").alias("p")).repartition("h")
+    stats = nodes.groupBy(F.col("h").alias("_h")).agg(
+        F.min("number").alias("_low"), F.max("number").alias("_high"), (F.min("b") == F.max("b")).alias("one_before"), (F.min("a") == F.max("a")).alias("one_after")
+    ).where("_low < _high").select("_h", "one_before", "one_after")
+    repeated = nodes.join(stats, F.col("h") == F.col("_h")).groupBy("number").agg(F.collect_list(F.struct("p", "h", "b", "one_before", "one_after")).alias("nodes"))
+    texts = source.select(F.col("number").alias("_number"), "same", "text")
+    placed = repeated.join(texts, F.col("number") == F.col("_number")).select("same", "nodes", "text")
+    spans = placed.mapInArrow(_span_keys(least, k, edges), "doc string, span bigint, start int, length int")
     return spans, members
 
 
@@ -201,6 +194,7 @@ def shared_share(df: DataFrame, key: str = "doc_id", text: str = "text", least:
     copies = members.groupBy("doc").agg(F.count("*").alias("_n"))
     by_key = members.join(copies, "doc").join(by_class, "doc", "left").select(F.col("key").alias("_k"), "_n", "_covered")
     rows = df.where(F.col(key).isNotNull()).select(F.col(key), F.length(text).alias("_len")).groupBy(key).agg(F.coalesce(F.max("_len"), F.lit(0)).cast("long").alias("n_chars"))
+    by_key = by_key.groupBy("_k").agg(F.max("_n").alias("_n"), F.max("_covered").alias("_covered"))
     joined = rows.join(by_key, F.col(key) == F.col("_k"), "left")
     n = F.when(F.col("_n") > 1, F.col("n_chars")).otherwise(F.coalesce("_covered", F.lit(0))).cast("long")
     return joined.select(key, "n_chars", n.alias("shared_chars"), F.when(F.col("n_chars") > 0, n / F.col("n_chars")).otherwise(F.lit(0.0)).alias("shared_share"))
