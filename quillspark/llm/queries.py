@@ -7,10 +7,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import corpus_encoding, packing, shared_spans, similar_vectors, token_budget
+from quillspark.llm import corpus_encoding, languages, packing, page_body, repeated_lines, shared_spans, similar_vectors, token_budget
 from quillspark.sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_lines.repeated_lines(table(spark, folder, "chunks"))
+
+
+def p1_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_lines.without_repeated_lines(table(spark, folder, "chunks"))
+
+
+def p1_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_lines.frequent_sequences(table(spark, folder, "chunks"))[0]
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return page_body.boilerplate_lines(table(spark, folder, "chunks"))
+
+
+def p4_body(spark: SparkSession, folder: str) -> DataFrame:
+    return page_body.main_body(table(spark, folder, "chunks"))
+
+
+def _languages(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.languages(table(spark, folder, "chunks"), table(spark, folder, "lang_samples"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.wrongly_labelled(_languages(spark, folder))
+
+
+def p6_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return _languages(spark, folder).select("id", "label", "lang", "language_confidence")
+
+
+def p6_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.segments(_languages(spark, folder))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return token_budget.badly_stated(token_budget.settled_tokens(table(spark, folder, "chunks")))
 
@@ -72,10 +108,18 @@ def p10_share(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p1_found": p1_found,
+        "p1_cleaned": p1_cleaned,
+        "p1_sequences": p1_sequences,
         "p3_found": p3_found,
         "p3_nearest": p3_nearest,
+        "p4_found": p4_found,
+        "p4_body": p4_body,
         "p5_found": p5_found,
         "p5_totals": p5_totals,
+        "p6_found": p6_found,
+        "p6_languages": p6_languages,
+        "p6_segments": p6_segments,
         "p8_ids": p8_ids,
         "p8_decoded": p8_decoded,
         "p9_containers": p9_containers,
