@@ -25,6 +25,7 @@ BUCKETS = 4096
 _WORD = re.compile(r"[^\W\d_]+")
 _MARKS = ["#", "*", "-", "•", "»", "[", "←", "→", "|", "©", "“", ">"]
 _NUMBERED = re.compile(r"\d+[.)]\s")
+_LISTED = re.compile(r"#|\*|•|\d+\)")  # marks that only an article's own headings and lists have
 _CODE = re.compile(r"^\w+\.\w+\(.*\)$|[{};=]\s*$|^\s*(?:def|class|import|return)\b")
 _CONTACT = re.compile(r"@|\(at\)|\[at\]|\+\d{1,3}[ (]|(?:\d[ ()/.-]{0,2}){8,}")
 _TABLE = re.compile(r"^\s*\|.*\|\s*$")
@@ -96,7 +97,7 @@ class Page:
             return 1.0, 1.0
         if _TRAIL.match(bare) and not self.prose[i]:
             return 1.0, 1.0
-        if self.support[i] > 0 or line.startswith("#"):
+        if self.support[i] > 0 or (self.rare[i] and _LISTED.match(line)):
             return 0.0, 1.0
         if self.prose[i] and self.rare[i]:
             return 0.0, 1.0

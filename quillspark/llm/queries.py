@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import corpus_encoding, languages, packing, page_body, repeated_lines, shared_spans, similar_vectors, token_budget
+from quillspark.llm import corpus_encoding, languages, packing, page_body, repeated_lines, scanned_text, shared_spans, similar_vectors, token_budget
 from quillspark.sources.tables import table
 
 
@@ -47,6 +47,14 @@ def p6_segments(spark: SparkSession, folder: str) -> DataFrame:
     return languages.segments(_languages(spark, folder))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scanned_text.faulty_lines(scanned_text.repaired(table(spark, folder, "chunks")))
+
+
+def p7_text(spark: SparkSession, folder: str) -> DataFrame:
+    return scanned_text.repaired(table(spark, folder, "chunks")).select("id", "text")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return token_budget.badly_stated(token_budget.settled_tokens(table(spark, folder, "chunks")))
 
@@ -120,6 +128,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p6_found": p6_found,
         "p6_languages": p6_languages,
         "p6_segments": p6_segments,
+        "p7_found": p7_found,
+        "p7_text": p7_text,
         "p8_ids": p8_ids,
         "p8_decoded": p8_decoded,
         "p9_containers": p9_containers,
