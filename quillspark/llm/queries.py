@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import corpus_encoding, languages, packing, page_body, repeated_lines, scanned_text, shared_spans, similar_vectors, token_budget
+from quillspark.llm import corpus_encoding, languages, packing, page_body, personal_data, repeated_lines, scanned_text, shared_spans, similar_vectors, token_budget
 from quillspark.sources.tables import table
 
 
@@ -23,6 +23,18 @@ def p1_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_lines.frequent_sequences(table(spark, folder, "chunks"))[0]
 
 
+def _personal(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, folder, "chunks"), table(spark, folder, "pii_kinds"))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.found_data(_personal(spark, folder))
+
+
+def p2_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.redacted(_personal(spark, folder))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return page_body.boilerplate_lines(table(spark, folder, "chunks"))
 
@@ -119,6 +131,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_found": p1_found,
         "p1_cleaned": p1_cleaned,
         "p1_sequences": p1_sequences,
+        "p2_found": p2_found,
+        "p2_redacted": p2_redacted,
         "p3_found": p3_found,
         "p3_nearest": p3_nearest,
         "p4_found": p4_found,
