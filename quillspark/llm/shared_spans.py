@@ -106,7 +106,7 @@ def _span_keys(least: int, k: int, edges: bool):
                 nodes = [n for n in nodes if n["p"] < len(kmers) and kmers[n["p"]] == n["h"]]
                 spans, last = [], None
                 for n in nodes:
-                    if last is not None and n["b"] == last["h"] and n["p"] - last["p"] <= least - k + 1 and n["one_before"] and last["one_after"]:
+                    if last is not None and last["one_after"] and last["a"] == n["h"] and last["n"] == n["n"]:
                         spans[-1][1] = n["p"] + k
                     else:
                         spans.append([n["p"], n["p"] + k, n["h"]])
@@ -142,20 +142,19 @@ def _repeated_spans(df: DataFrame, key: str, text: str, least: int, k: int, edge
     picked = staged(source.mapInArrow(_kmer_rows(least, k, "_key"), f"_key {kind}, same string, number bigint, p array<int>, h array<bigint>"), "kmers")
     members = picked.select(F.col("same").alias("doc"), F.col("_key").alias("key")).distinct()
     n = F.size("h")
-    zero = F.array(F.lit(0).cast("bigint"))
-    rows = F.arrays_zip(F.col("h"), F.concat(zero, F.slice("h", 1, n - 1)).alias("b"), F.concat(F.slice("h", 2, n - 1), zero).alias("a"), F.col("p"))
-    nodes = picked.where(n > 0).select("number", F.explode(rows).alias("n")).select("number", F.col("n.h").alias("h"), F.col("n.b").alias("b"), F.col("n.a").alias("a"), F.col("n.p").alias("p")).repartition("h")
-    stats = nodes.groupBy(F.col("h").alias("_h")).agg(
-        F.min("number").alias("_low"), F.max("number").alias("_high"), (F.min("b") == F.max("b")).alias("one_before"), (F.min("a") == F.max("a")).alias("one_after")
-    ).where("_low < _high").select("_h", "one_before", "one_after")
-    repeated = nodes.join(stats, F.col("h") == F.col("_h")).groupBy("number").agg(F.collect_list(F.struct("p", "h", "b", "one_before", "one_after")).alias("nodes"))
+    after = F.concat(F.slice("h", 2, n - 1), F.array(F.lit(0).cast("bigint"))).alias("a")
+    nodes = picked.where(n > 0).select("number", F.explode(F.arrays_zip("h", after, "p")).alias("n")).select("number", F.col("n.h").alias("h"), F.col("n.a").alias("a"), F.col("n.p").alias("p")).repartition("h")
+    # a path goes on without a branch if one node always follows and is met as often as the node before it
+    stats = nodes.groupBy(F.col("h").alias("_h")).agg(F.min("number").alias("_low"), F.max("number").alias("_high"), (F.min("a") == F.max("a")).alias("one_after"), F.count("*").alias("n"))
+    stats = stats.where("_low < _high").select("_h", "one_after", "n")
+    repeated = nodes.join(stats, F.col("h") == F.col("_h")).groupBy("number").agg(F.collect_list(F.struct("p", "h", "a", "one_after", "n")).alias("nodes"))
     texts = source.select(F.col("number").alias("_number"), "same", "text")
     placed = repeated.join(texts, F.col("number") == F.col("_number")).select("same", "nodes", "text")
     spans = placed.mapInArrow(_span_keys(least, k, edges), "doc string, span bigint, start int, length int")
     return spans, members
 
 
-def shared_pairs(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = 240, k: int = 128) -> DataFrame:
+def shared_pairs(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = 240, k: int = 121) -> DataFrame:
     """``<key>_a, <key>_b`` with a < b: pairs of rows that share ``least`` or more identical characters.
 
     Texts that are null or shorter have no pair. Rows with the very same text are one node of the graph;
@@ -175,7 +174,7 @@ def shared_pairs(df: DataFrame, key: str = "doc_id", text: str = "text", least:
     return every.select(F.least("_ka", "_kb").alias(f"{key}_a"), F.greatest("_ka", "_kb").alias(f"{key}_b")).where(F.col(f"{key}_a") < F.col(f"{key}_b")).distinct()
 
 
-def shared_share(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = 240, k: int = 128) -> DataFrame:
+def shared_share(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = 240, k: int = 121) -> DataFrame:
     """``key, n_chars, shared_chars, shared_share``: how much of every row's text others have too.
 
     A character counts if it lies in a run of ``least`` or more characters that another row has as
