@@ -63,7 +63,7 @@ FUNCTION_WORDS = {
 def detect_language(text: Column, default: str = "en") -> Column:
     """Language with the most function words among the first 1000 characters; ties go in order, none to ``default``."""
     w = F.split(F.lower(F.substring(F.coalesce(text, F.lit("")), 1, 1000)), r"[^\p{L}]+")
-    n = [F.size(F.filter(w, lambda x, t=terms: x.isin(t))) for terms in FUNCTION_WORDS.values()]
+    n = [F.size(F.filter(w, lambda x: x.isin(terms))) for terms in FUNCTION_WORDS.values()]
     top = F.greatest(*n)
     out = F.when(top == 0, default)
     for name, count in zip(FUNCTION_WORDS, n):

@@ -10,9 +10,11 @@ import unicodedata
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.batched import batched
+
 # Page chrome, line keys, headers, bullets, dashes, compounds and ligatures.
 CHROME = [
     r"Skip to (?:main )?content", r"Navigation menu", r"Main menu", r"Breadcrumbs?", r"You are here:", r"Home >", r"Back to top", r"Print this page",
@@ -70,7 +72,7 @@ def normal_spacing(text: Column) -> Column:
     return trim_space(_chain(t, [("[–—]", "-"), (r"[ \t]+", " "), (r"(?U)\s*\n\s*", "\n")]))
 
 
-@F.pandas_udf("string")
+@batched("string")
 def composed(text: pd.Series) -> pd.Series:
     """Canonical composition (NFC), which no built-in function does."""
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
@@ -138,7 +140,7 @@ def restored(text: str, kept: list[tuple[str, str]]) -> str:
     return text
 
 
-@F.pandas_udf("struct<text:string,kept:array<struct<placeholder:string,original:string>>>")
+@batched("struct<text:string,kept:array<struct<placeholder:string,original:string>>>")
 def preserve_technical(text: pd.Series) -> pd.DataFrame:
     rows = [preserved(t) if t is not None else (None, []) for t in text]
     return pd.DataFrame({"text": [r[0] for r in rows], "kept": [[{"placeholder": p, "original": o} for p, o in r[1]] for r in rows]})
@@ -148,24 +150,25 @@ def restore_technical(text: Column, kept: Column) -> Column:
     return F.aggregate(F.reverse(kept), text, lambda t, k: F.replace(t, k["placeholder"], k["original"]))
 
 
-def clean_text(text: Column, content_type: Column) -> Column:
-    """Struct ``text, is_valid, is_low_signal, low_signal_reason, content_type, text_length, word_count, line_count``.
+def cleaned(rows: DataFrame, text: str = "text", content_type: Column | None = None) -> DataFrame:
+    """``rows`` with a struct ``_clean`` of ``text, is_valid, is_low_signal, low_signal_reason, content_type, text_length, word_count, line_count``.
 
-    Python only takes technical content out and composes code points; all rules run in the JVM. Empty
-    and null texts give an empty, invalid one.
+    Python only takes technical content out and composes code points; all rules run in the JVM, step by
+    step, so that no step is worked out twice. Empty and null texts give an empty, invalid one.
     """
     from quillspark.functions.signals import document_signal
 
-    held = preserve_technical(F.coalesce(text, F.lit("")))
-    mended = normalize_text(fix_hyphenation(held["text"]))
-    mended = normalize_bullets(F.when(content_type == "pdf", strip_headers_footers(mended)).otherwise(mended))
-    mended = clean_special_sections(mended)
-    done = restore_technical(normal_spacing(polish_sentences(mended)), held["kept"])
-    n = F.size(F.filter(F.split(done, r"(?U)\s+"), lambda w: w != ""))
-    pdf = content_type == "pdf"
-    valid = F.when(pdf, (F.length(done) > 50) | (n > 20)).otherwise((F.length(done) > 100) | (n > 50))
-    signal = document_signal(mended)
-    return F.struct(
-        done.alias("text"), valid.alias("is_valid"), signal["is_low_signal"].alias("is_low_signal"), signal["reason"].alias("low_signal_reason"), content_type.alias("content_type"),
-        F.length(done).alias("text_length"), n.alias("word_count"), F.when(done == "", 0).otherwise(F.size(F.split(done, "\n"))).alias("line_count"),
+    kind = content_type if content_type is not None else F.lit("general")
+    step = rows.withColumn("_kind", F.coalesce(kind, F.lit("general"))).withColumn("_held", preserve_technical(F.coalesce(F.col(text), F.lit(""))))
+    step = step.withColumn("_t", fix_hyphenation(F.col("_held.text"))).withColumn("_t", normal_spacing(composed(F.col("_t"))))
+    step = step.withColumn("_t", F.when(F.col("_kind") == "pdf", strip_headers_footers(F.col("_t"))).otherwise(F.col("_t")))
+    step = step.withColumn("_m", clean_special_sections(normalize_bullets(F.col("_t"))))
+    step = step.withColumn("_s", document_signal(F.col("_m"))).withColumn("_done", restore_technical(normal_spacing(polish_sentences(F.col("_m"))), F.col("_held.kept")))
+    step = step.withColumn("_n", F.size(F.filter(F.split("_done", r"(?U)\s+"), lambda w: w != "")))
+    long = F.length("_done")
+    valid = F.when(F.col("_kind") == "pdf", (long > 50) | (F.col("_n") > 20)).otherwise((long > 100) | (F.col("_n") > 50))
+    made = F.struct(
+        F.col("_done").alias("text"), valid.alias("is_valid"), F.col("_s.is_low_signal").alias("is_low_signal"), F.col("_s.reason").alias("low_signal_reason"), F.col("_kind").alias("content_type"),
+        long.alias("text_length"), F.col("_n").alias("word_count"), F.when(F.col("_done") == "", 0).otherwise(F.size(F.split("_done", "\n"))).alias("line_count"),
     )
+    return step.withColumn("_clean", made).drop("_kind", "_held", "_t", "_m", "_s", "_done", "_n")

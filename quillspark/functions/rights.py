@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillspark.functions.batched import batched
 from quillspark.functions.urls import has_any
 
 # Metadata fields read for dates, in order.
@@ -51,7 +52,7 @@ def robots(html: Column) -> Column:
     return F.struct(F.exists(contents, lambda c: c.contains("noindex")).alias("noindex"), F.exists(contents, lambda c: c.contains("nofollow")).alias("nofollow"))
 
 
-@F.pandas_udf("timestamp_ntz")
+@batched("timestamp_ntz")
 def free_form_date(text: pd.Series) -> pd.Series:
     """A date in any common writing, null if there is none; time zones are dropped."""
     from dateutil import parser

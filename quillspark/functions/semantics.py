@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillspark.functions.batched import batched
 from quillspark.functions.signals import terms_in
 
 # Terms of domains and topics, in order.
@@ -59,7 +60,8 @@ def code_languages(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
     blocks = F.concat(*[F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in (r"(?s)```\w*\n(.*?)```", r"(?s)<code>(.*?)</code>", r"(?s)<pre>(.*?)</pre>")])
     searched = F.when(F.size(blocks) > 0, blocks).otherwise(F.array(t))
-    return F.array_compact(F.array(*[F.when(F.exists(searched, lambda b, p=p: F.regexp_like(b, F.lit(f"(?im){p}"))), F.lit(name)) for name, p in CODE_PATTERNS.items()]))
+    shows = lambda p: F.exists(searched, lambda b: F.regexp_like(b, F.lit(f"(?im){p}")))
+    return F.array_compact(F.array(*[F.when(shows(p), F.lit(name)) for name, p in CODE_PATTERNS.items()]))
 
 
 def units(text: Column, most: int = 20) -> Column:
@@ -152,7 +154,7 @@ def entities_of(text: str | None) -> list[dict]:
     return kept
 
 
-@F.pandas_udf("array<struct<text:string,type:string,start:int,end:int,confidence:double>>")
+@batched("array<struct<text:string,type:string,start:int,end:int,confidence:double>>")
 def entities(text: pd.Series) -> pd.Series:
     """Entities with their places, which no built-in function gives."""
     return text.map(entities_of)

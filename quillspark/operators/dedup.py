@@ -30,8 +30,8 @@ def repeated_lines(documents: DataFrame, key: str = "doc_id", text: str = "text"
     Counting stays within the row; nothing is shuffled.
     """
     lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.regexp_replace(x, r"^[ \t\r\f]+|[ \t\r\f]+$", ""))
-    often = F.filter(F.array_distinct(lines), lambda x: (F.length(x) > longer_than) & (F.size(F.filter("_lines", lambda y: y == x)) > most))
-    marked = documents.select(key, lines.alias("_lines")).select(key, "_lines", often.alias("_often"))
+    often = F.filter(F.array_distinct("_lines"), lambda x: (F.length(x) > longer_than) & (F.size(F.filter("_lines", lambda y: y == x)) > most))
+    marked = documents.select(key, lines.alias("_lines")).withColumn("_often", often)
     kept = F.array_join(F.filter("_lines", lambda x: ~F.array_contains("_often", x)), "\n")
     return marked.select(key, F.regexp_replace(kept, r"\n{3,}", "\n\n").alias("text"))
 

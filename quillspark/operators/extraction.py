@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.batched import batched
 from quillspark.operators.html import extracted
 
 _PARAGRAPH = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -149,7 +150,7 @@ def with_text(files: DataFrame, content: str = "content", method: str = "method"
     return made.withColumn("text", F.col("_x.text")).withColumn("error", F.col("_x.error")).drop("_x")
 
 
-@F.pandas_udf(f"struct<text:string,metadata:{METADATA}>")
+@batched(f"struct<text:string,metadata:{METADATA}>")
 def page(html: pd.Series) -> pd.DataFrame:
     """Text and metadata of pages, as one struct."""
     rows = [extracted(h) for h in html]

@@ -18,8 +18,8 @@ def to_documents(files: DataFrame, ocr: bool = False) -> DataFrame:
     """
     routed = routing.routed(files, "url", "content_type", ocr)
     texts = extraction.with_text(routed).where("text is not null")
-    cleaned = texts.withColumn("_c", cleaning.clean_text(F.col("text"), F.col("processing")))
-    return cleaned.where("_c.is_valid").select("id", "url", F.col("_c.text").alias("text"), "kind")
+    cleaned = cleaning.cleaned(texts, "text", F.col("processing"))
+    return cleaned.where("_clean.is_valid").select("id", "url", F.col("_clean.text").alias("text"), "kind")
 
 
 def to_chunks(documents: DataFrame, at: datetime | Column, options: chunking.ChunkOptions | None = None, enrich: str = "core", title: str | None = None) -> DataFrame:
