@@ -36,33 +36,39 @@ _SITE_TITLE = re.compile(r"[A-ZÀ-Þ]\w+(?: [A-ZÀ-Þ]\w+)?, [A-ZÀ-Þ]")
 _ISSUE = re.compile(r".{2,60} [—–-] ?(?:No|Nr|N[º°]|Vol|V0l|N0|Núm|Num|Heft|Bd)\.? ?\S{1,6}", re.IGNORECASE)
 
 
+_READ_BY_PRINTED: dict[str, list[tuple[str, str]]] = defaultdict(list)
+for _printed, _read in READINGS:
+    _READ_BY_PRINTED[_printed[0]].append((_printed[1:], _read))
+
+
 class LevenshteinAutomaton:
-    """Accepts what is within ``distance`` of ``word``; a state has a bit for each place and number of errors."""
+    """Accepts the words that become ``word`` by at most ``distance`` edits, which are the known readings.
+
+    It is a Levenshtein automaton whose edits, besides exchanging a character, merge and split two. A
+    state is a set of places: position in ``word``, what must come next of a printed pair, edits so far.
+    """
 
     def __init__(self, word: str, distance: int):
-        self.size, self.distance, self.full = len(word), distance, (1 << (len(word) + 1)) - 1
-        self.at: dict[str, int] = defaultdict(int)
-        for i, c in enumerate(word):
-            self.at[c] |= 1 << i
-        start, bits = [], 1
-        for _ in range(distance + 1):
-            start.append(bits)
-            bits |= bits << 1
-        self.start = tuple(b & self.full for b in start)
-
-    def step(self, state: tuple[int, ...], c: str) -> tuple[int, ...] | None:
-        hits = self.at.get(c, 0)
-        before = state[0]
-        new = [(before & hits) << 1]
-        for k in range(1, self.distance + 1):
-            now = state[k]
-            # a match; a wrong, an extra or (of the new state before) a missing character
-            new.append((((now & hits) << 1) | (before << 1) | before | (new[-1] << 1)) & self.full)
-            before = now
-        return tuple(new) if new[-1] else None
-
-    def accepts(self, state: tuple[int, ...]) -> bool:
-        return bool(state[-1] >> self.size & 1)
+        self.word, self.distance = word, distance
+        self.start = frozenset({(0, "", 0)})
+
+    def step(self, state: frozenset, c: str) -> frozenset:
+        new = set()
+        for at, due, edits in state:
+            if due:
+                if due == c:
+                    new.add((at, "", edits))
+                continue
+            if self.word.startswith(c, at):
+                new.add((at + 1, "", edits))
+            if edits < self.distance:
+                for rest, read in _READ_BY_PRINTED.get(c, ()):
+                    if self.word.startswith(read, at):
+                        new.add((at + len(read), rest, edits + 1))
+        return frozenset(new)
+
+    def accepts(self, state: frozenset) -> bool:
+        return any(at == len(self.word) and not due for at, due, _ in state)
 
 
 class Trie:
@@ -86,7 +92,7 @@ class Trie:
                 if c == "":
                     if automaton.accepts(state):
                         found.append(below)
-                elif (after := automaton.step(state, c)) is not None:
+                elif after := automaton.step(state, c):
                     stack.append((below, after))
         return found
 
@@ -331,7 +337,7 @@ def vocabulary(chunks: DataFrame, least: int = 8) -> DataFrame:
 
 
 def candidates(unknown: DataFrame, words: DataFrame, shards: int = 4) -> DataFrame:
-    """``word, near``: all known words within one error, else within two, of every unknown word.
+    """``word, near``: all known words within two readings of every unknown word.
 
     Known words of one length make a trie; an unknown word visits the tries of lengths within two of its
     own. The unknown words of a length are dealt to ``shards`` tasks that have the same trie.
@@ -344,12 +350,8 @@ def candidates(unknown: DataFrame, words: DataFrame, shards: int = 4) -> DataFra
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
         trie = Trie(zip(right.column("known").to_pylist(), right.column("n").to_pylist()))
         found: dict[str, list] = {}
-        size = left.column("size")[0].as_py() if left.num_rows else 0
         for w in left.column("word").to_pylist():
-            near = trie.near(w, 1) if abs(len(w) - size) < 2 else []
-            near = [x for x in near if x[0] != w] or trie.near(w, 2)
-            near = [x for x in near if readings_between(x[0], w) is not None]
-            if near:
+            if near := trie.near(w, 2):
                 found[w] = [{"word": a, "n": n} for a, n in near]
         return pa.table({"word": pa.array(list(found), pa.string()), "near": pa.array(list(found.values()), struct)})
 
