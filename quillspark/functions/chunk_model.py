@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillspark.functions.binding import let
+
 # Allowed values of enumerated columns.
 SOURCE_TYPES = ["official_docs", "community", "internal", "legal", "code", "academic", "news", "dataset", "log"]
 MODALITIES = ["text", "table", "code", "equation", "figure", "metadata"]
@@ -62,13 +64,16 @@ FUNCTION_WORDS = {
 
 def detect_language(text: Column, default: str = "en") -> Column:
     """Language with the most function words among the first 1000 characters; ties go in order, none to ``default``."""
-    w = F.split(F.lower(F.substring(F.coalesce(text, F.lit("")), 1, 1000)), r"[^\p{L}]+")
-    n = [F.size(F.filter(w, lambda x: x.isin(terms))) for terms in FUNCTION_WORDS.values()]
-    top = F.greatest(*n)
-    out = F.when(top == 0, default)
-    for name, count in zip(FUNCTION_WORDS, n):
-        out = out.when(count == top, name)
-    return out
+    names = F.array(*[F.lit(name) for name in FUNCTION_WORDS])
+
+    def counts(w: Column) -> Column:
+        return F.array(*[F.size(F.filter(w, lambda x: x.isin(terms))) for terms in FUNCTION_WORDS.values()])
+
+    def pick(n: Column) -> Column:
+        return F.when(F.array_max(n) == 0, default).otherwise(F.element_at(names, F.array_position(n, F.array_max(n)).cast("int")))
+
+    words = F.split(F.lower(F.substring(F.coalesce(text, F.lit("")), 1, 1000)), r"[^\p{L}]+")
+    return let(let(words, counts), pick)
 
 
 def chunk_record(columns: list[str]) -> Column:

@@ -54,11 +54,12 @@ def strip_frontmatter(text: Column) -> Column:
 def fix_hyphenation(text: Column) -> Column:
     """Joins words cut at line ends, mends spacing and keeps only blank lines as breaks."""
     steps = [("[­‧]", ""), (r"\b([a-z]+)-\s*\n\s*([a-z]+)\b", "$1$2")]
-    steps += [(rf"(?i)\b({a})\s+-\s+({b})\b", "$1-$2") for a, b in COMPOUNDS]
-    steps += [(rf"(?i)\b({a})({b})\b", "$1 $2") for a, b in SPLIT_WORDS]
-    steps += [(r"\b([a-z]+)([A-Z][a-z]+)\b", "$1 $2"), (r"(?i)\bfor\s+example\b", "for example")]
-    steps += [(rf"(?i)\b{a}\s+{b}\b", a + b) for a, b in JOINED_WORDS]
-    steps += [(f"[{BULLETS}]", "-"), ("[—–―⸺⸻]", " - "), ("‒", "-")]
+    # a boundary is only looked for behind a first letter that fits, and like rules are one pass
+    steps += [("(?i)(" + "|".join(rf"{a[0]}(?<=\b{a[0]}){a[1:]}(?=\s+-\s+{b}\b)" for a, b in COMPOUNDS) + r")\s+-\s+", "$1-")]
+    steps += [("(?i)(" + "|".join(rf"{a[0]}(?<=\b{a[0]}){a[1:]}(?={b}\b)" for a, b in SPLIT_WORDS) + ")", "$1 ")]
+    steps += [(r"(?<=[a-z])(?=[A-Z][a-z]+\b)(?<=\b[a-z]{1,40})", " ")]
+    steps += [(rf"(?i){a[0]}(?<=\b{a[0]}){a[1:]}\s+{b}\b", to) for a, b, to in [("for", "example", "for example"), *[(a, b, a + b) for a, b in JOINED_WORDS]]]
+    steps += [(f"[{BULLETS}‒]", "-"), ("[—–―⸺⸻]", " - ")]
     steps += [
         (r"(?U)\s+([,;!?])", "$1"), (r":(?!//)(?=[A-Za-z])", ": "), (r"\.(?=[A-Z])", ". "), (r"([,;])(?=[A-Za-z])", "$1 "), (r"([0-9]+)\.\s+([0-9]+)", "$1.$2"), (r"([.!?])([A-Z])", "$1 $2"),
         (r"[ \t]+", " "), (r" +\n", "\n"), (r"\n +", "\n"), (r"([.!?])\s*\n\s*([a-z])", "$1 $2"), ("\n\n", "§PARA§"), (r"(?U)\s+", " "), ("§PARA§", "\n\n"),
@@ -107,13 +108,13 @@ def polish_sentences(text: Column) -> Column:
     return trim_space(_chain(text, steps))
 
 
-# What must pass the cleaning unchanged, in the order it is taken out.
+# What must pass the cleaning unchanged, in the order it is taken out, with signs that it always has.
 _KEPT = [
-    ("URL", re.compile(r"(?:https?|ftp|s3|ssh|git)://[^\s<>\"{}|\\^`\[\]]+"), None),
-    ("AWS", re.compile(r"\b[a-z0-9][a-z0-9.\-]{1,61}[a-z0-9]\.s3[.-][a-z0-9\-]+\.amazonaws\.com(?:/\S*)?|\barn:[a-z0-9\-]+:[a-z0-9\-]+:[a-z0-9\-]*:[0-9]*:[a-zA-Z0-9\-_:/]*"), None),
-    ("EMAIL", re.compile(r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"), None),
-    ("PATH", re.compile(r"(?:/[a-zA-Z0-9_\-.]+){2,}/?|[A-Z]:\\(?:[a-zA-Z0-9_\-. ]+\\)*[a-zA-Z0-9_\-. ]*"), None),
-    ("KEBAB", re.compile(r"\b[a-z0-9]+(?:-[a-z0-9]+){2,}\b"), None),
+    ("URL", re.compile(r"(?:https?|ftp|s3|ssh|git)://[^\s<>\"{}|\\^`\[\]]+"), ("://",)),
+    ("AWS", re.compile(r"\b[a-z0-9][a-z0-9.\-]{1,61}[a-z0-9]\.s3[.-][a-z0-9\-]+\.amazonaws\.com(?:/\S*)?|\barn:[a-z0-9\-]+:[a-z0-9\-]+:[a-z0-9\-]*:[0-9]*:[a-zA-Z0-9\-_:/]*"), (".s3", "arn:")),
+    ("EMAIL", re.compile(r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"), ("@",)),
+    ("PATH", re.compile(r"(?:/[a-zA-Z0-9_\-.]+){2,}/?|[A-Z]:\\(?:[a-zA-Z0-9_\-. ]+\\)*[a-zA-Z0-9_\-. ]*"), ("/", "\\")),
+    ("KEBAB", re.compile(r"\b[a-z0-9]+(?:-[a-z0-9]+){2,}\b"), ("-",)),
 ]
 
 
@@ -128,8 +129,9 @@ def preserved(text: str) -> tuple[str, list[tuple[str, str]]]:
 
         return replace
 
-    for kind, pattern, _ in _KEPT:
-        text = pattern.sub(put(kind), text)
+    for kind, pattern, signs in _KEPT:
+        if any(s in text for s in signs):  # most texts have nothing to look for
+            text = pattern.sub(put(kind), text)
     return text, kept
 
 

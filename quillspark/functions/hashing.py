@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillspark.functions.batched import batched
+
 
 def content_sha1(text: Column) -> Column:
     return F.sha1(text)
@@ -29,17 +33,29 @@ def structure_chunk_id(text: Column, index: Column) -> Column:
     return F.substring(F.md5(F.concat(F.substring(text, 1, 100), index.cast("string"))), 1, 16)
 
 
+@batched("bigint")
+def _majority(hashes: pd.Series) -> pd.Series:
+    """For each list of hashes, the bits that more than half of them have set."""
+    sizes = hashes.map(len).to_numpy()
+    out = np.zeros(len(sizes), np.int64)
+    filled = np.flatnonzero(sizes)
+    if len(filled):
+        flat = np.concatenate([np.asarray(h, np.int64) for h in hashes.iloc[filled]])
+        starts = np.concatenate([[0], np.cumsum(sizes[filled])[:-1]])
+        sums = np.stack([np.add.reduceat((flat >> np.int64(b)) & 1, starts) for b in range(64)], axis=1)
+        bits = (sums * 2 > sizes[filled][:, None]).astype(np.uint64)
+        out[filled] = (bits << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64).view(np.int64)
+    return pd.Series(out)
+
+
 def simhash(text: Column) -> Column:
-    """64-bit fingerprint of a text's lower-case words, as a signed bigint; an empty text has 0.
+    """64-bit fingerprint of a text's lower-case words, as a signed bigint; a text without words has 0.
 
-    A bit is set if more word hashes have it set than not (Charikar 2002). Kept inside the JVM: one
-    pass sums up, for 64 bits at once, how many hashes have each of them.
+    A bit is set if more word hashes have it set than not (Charikar 2002). Words are hashed in the JVM;
+    only their hashes go to Python, where a whole batch is counted bit by bit.
     """
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    bits = F.sequence(F.lit(0), F.lit(63))
-    sums = F.transform(bits, lambda b: F.aggregate(hashes, F.lit(0), lambda s, h: s + F.getbit(h, b).cast("int") * 2 - 1))
-    return F.aggregate(F.transform(sums, lambda s: (s > 0).cast("bigint")), F.lit(0).cast("bigint"), lambda acc, bit: F.shiftleft(acc, 1).bitwiseOR(bit))
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return _majority(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def original_hash(content: Column) -> Column:

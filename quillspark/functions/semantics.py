@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillspark.functions.batched import batched
+from quillspark.functions.binding import let
 from quillspark.functions.signals import terms_in
 
 # Terms of domains and topics, in order.
@@ -51,8 +52,8 @@ NO_PERSONS = ["United States", "New York", "Web Services", "Machine Learning"]
 
 def topics(text: Column, most: int = 5) -> Column:
     """Domains, then topics, of which a text has two terms or more; at most ``most``."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    return F.slice(F.array_compact(F.array(*[F.when(terms_in(t, terms) >= 2, F.lit(name)) for name, terms in (DOMAIN_TERMS | TOPIC_TERMS).items()])), 1, most)
+    rules = lambda t: F.array_compact(F.array(*[F.when(terms_in(t, terms) >= 2, F.lit(name)) for name, terms in (DOMAIN_TERMS | TOPIC_TERMS).items()]))
+    return F.slice(let(F.lower(F.coalesce(text, F.lit(""))), rules), 1, most)
 
 
 def code_languages(text: Column) -> Column:

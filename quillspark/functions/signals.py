@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillspark.functions.binding import let
 from quillspark.functions.urls import has_any
 
 SPACE = r"[ \t\n\r\f]+"
@@ -36,27 +37,42 @@ def terms_in(text: Column, terms: list[str]) -> Column:
 
 def document_signal(text: Column) -> Column:
     """Struct ``is_low_signal, reason``: the first rule that makes a document low in signal."""
-    t = F.coalesce(text, F.lit(""))
-    n = count_words(t)
+    return let(F.coalesce(text, F.lit("")), lambda t: let(_document_counts(t), lambda m: _document_rules(t, m)))
+
+
+def _document_counts(t: Column) -> Column:
     sentences = F.size(F.filter(F.split(t, "[.!?]+"), lambda s: F.regexp_like(s, F.lit(r"[^ \t\n\r\f]"))))
     urls = F.regexp_count(t, F.lit(r"https?://[^ \t\n\r\f]+"))
     lines = F.split(t, "\n")
     short = F.size(F.filter(lines, lambda line: F.size(words(line)) < 3))
-    special = F.regexp_count(t, F.lit(r"[^a-zA-Z \t\n\r\f]")) / F.length(t)
+    special = F.regexp_count(t, F.lit(r"[^a-zA-Z \t\n\r\f]"))
+    return F.struct(count_words(t).alias("n"), sentences.alias("sentences"), urls.alias("urls"), F.size(lines).alias("lines"), short.alias("short"), special.alias("special"))
+
+
+def _document_rules(t: Column, m: Column) -> Column:
+    n, sentences, urls = m["n"], m["sentences"], m["urls"]
+    special = m["special"] / F.length(t)
     code = F.regexp_like(t, F.lit(r"(?i)```|<code>|function|class|def|import"))
     boiler = terms_in(F.lower(t), ["copyright", "all rights reserved", "terms of service", "privacy policy"])
     reason = (
         F.when(t == "", "empty").when(n < MIN_WORDS, "too_short").when(sentences < MIN_SENTENCES, "few_sentences").when(n / sentences < MIN_SENTENCE_WORDS, "short_sentences")
-        .when(urls * 3 / n > MAX_URL_SHARE, "urls").when(F.regexp_like(t, F.lit(_TOC)), "toc").when((F.size(lines) > 10) & (short / F.size(lines) > 0.7), "menu")
+        .when(urls * 3 / n > MAX_URL_SHARE, "urls").when(F.regexp_like(t, F.lit(_TOC)), "toc").when((m["lines"] > 10) & (m["short"] / m["lines"] > 0.7), "menu")
         .when((special > MAX_SPECIAL_SHARE) & ~code, "special_characters").when((boiler >= 3) & (n < 200), "boilerplate").otherwise("")
     )
+    return let(reason, _signal)
+
+
+def _signal(reason: Column) -> Column:
     return F.struct((reason != "").alias("is_low_signal"), reason.alias("reason"))
 
 
 def chunk_signal(text: Column) -> Column:
     """Struct ``is_low_signal, reason`` of a chunk, by its wording."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    reason = (
+    return let(let(F.lower(F.coalesce(text, F.lit(""))), _chunk_reason), _signal)
+
+
+def _chunk_reason(t: Column) -> Column:
+    return (
         F.when(has_any(t, ["navigation", "menu", "breadcrumb", "skip to content"]), "nav")
         .when(terms_in(t, ["copyright", "all rights reserved", "privacy policy", "terms of use"]) >= 2, "footer")
         .when(terms_in(t, ["disclaimer", "limitation of liability", "indemnification", "governing law"]) >= 2, "legal")
@@ -64,7 +80,6 @@ def chunk_signal(text: Column) -> Column:
         .when(has_any(t, ["sponsored", "advertisement", "promoted content", "affiliate"]), "ads")
         .when(F.length(t) < 50, "too_short").when(F.regexp_like(t, F.lit(r"^[ \t\n\r\f0-9\p{P}\p{S}]+$")), "non_text").otherwise("")
     )
-    return F.struct((reason != "").alias("is_low_signal"), reason.alias("reason"))
 
 
 def low_signal_reason(text: Column, flag: Column) -> Column:
@@ -162,8 +177,7 @@ WARNINGS = {
 
 def content_warnings(text: Column) -> Column:
     """Names of the areas of which a text has three terms or more."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    return F.array_compact(F.array(*[F.when(terms_in(t, terms) >= 3, F.lit(name)) for name, terms in WARNINGS.items()]))
+    return let(F.lower(F.coalesce(text, F.lit(""))), lambda t: F.array_compact(F.array(*[F.when(terms_in(t, terms) >= 3, F.lit(name)) for name, terms in WARNINGS.items()])))
 
 
 def data_subjects(text: Column, persons: Column) -> Column:
