@@ -21,9 +21,11 @@ def hashing_embedder(dim: int = 64) -> Callable[[list[str]], list[list[float] |
         out: list[list[float] | None] = []
         for text in texts:
             v = np.zeros(dim)
-            for w in text.lower().split():
-                h = int.from_bytes(hashlib.md5(w.encode()).digest()[:8], "big")
+            hashes = [int.from_bytes(hashlib.md5(w.encode()).digest()[:8], "big") for w in text.lower().split()]
+            for h in hashes:
                 v[h % dim] += 1 if h >> 63 else -1
+            if hashes and not v.any():  # all words cancelled out
+                v[hashes[0] % dim] = 1
             norm = np.linalg.norm(v)
             out.append((v / norm).tolist() if norm else None)
         return out
