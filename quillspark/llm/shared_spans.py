@@ -111,6 +111,12 @@ def _span_keys(least: int, k: int, edges: bool):
                     else:
                         spans.append([n["p"], n["p"] + k, n["h"]])
                     last = n
+                for last, n in zip(nodes, nodes[1:]) if edges else ():
+                    # between the ends of a stretch of one character all windows are the same
+                    long = n["p"] + k - last["p"]
+                    if n["h"] == last["h"] and long >= least and (kmers[last["p"] : n["p"] + 1] == n["h"]).all():
+                        full = window_hashes(points, least).view(np.int64) if full is None else full
+                        out["doc"].append(i), out["key"].append(int(full[last["p"]])), out["start"].append(last["p"]), out["length"].append(long)
                 for start, end, head in spans:
                     whole = end - start >= least
                     ranges = []
