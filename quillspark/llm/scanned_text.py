@@ -21,7 +21,7 @@ from quillspark.llm.staging import staged
 # What scanners read (right) for what is printed (left).
 READINGS = [
     ("m", "rn"), ("rn", "m"), ("w", "vv"), ("d", "cl"), ("cl", "d"), ("ü", "ii"), ("h", "b"), ("e", "c"), ("c", "e"), ("li", "h"), ("h", "li"), ("n", "ri"), ("ri", "n"),
-    ("a", "@"), ("t", "+"), ("s", "5"), ("s", "$"), ("i", "1"), ("l", "1"), ("o", "0"), ("g", "9"), ("b", "8"), ("é", "6"), ("b", "6"), ("i", "|"), ("l", "|"), ("i", "!"), ("l", "i"), ("i", "l"), ("t", "l"), ("u", "ii"), ("b", "h"), ("nn", "m"), ("m", "nn"),
+    ("a", "@"), ("t", "+"), ("s", "5"), ("s", "$"), ("i", "1"), ("l", "1"), ("o", "0"), ("g", "9"), ("b", "8"), ("é", "6"), ("b", "6"), ("i", "|"), ("l", "|"), ("i", "!"), ("l", "i"), ("i", "l"), ("t", "l"), ("u", "ii"), ("b", "h"), ("nn", "m"), ("m", "nn"), ("fi", "ﬁ"), ("fl", "ﬂ"), ("ff", "ﬀ"),
 ]
 _CUT = "-‐¬\xad"
 _SPLIT = re.compile(r"[\s.,;:()\[\]“”„\"'’‘—–/!?<>«»=" + re.escape(_CUT) + "]+")
@@ -31,6 +31,8 @@ _ODD = re.compile(r"[^\W\d_]{2}[0-9@+$|]|[0-9@+$|][^\W\d_]{2}|[^\W\d_][0-9@+$|][
 _ORDINAL = re.compile(r"\d+(?:st|nd|rd|th|er|ère|e|a|o|º|ª)?$|[A-Z]{1,2}\d+$|\d+[a-z]$", re.IGNORECASE)
 _PAGE = re.compile(r"(?:-|–|—) ?\d{1,5} ?(?:-|–|—)|\[\d{1,5}\]|· ?\d{1,5}(?: ?·)?|\d{1,5} ?·|(?:p|pp|S|pág|pag)\. ?\d{1,5}|(?:Page|Seite|Página|Pagina|Página|Pag) \d{1,5}(?: (?:of|von|sur|de) \d{1,5})?|\d{1,5} ?/ ?\d{1,5}|\d{1,5}", re.IGNORECASE)
 _DOTTED_PAGE = re.compile(r"\d{1,5}\.")
+_LEADS_TO_NUMBER = re.compile(r"\b(?:von|of|than|section|abschnitt|sección|secção|nummer|number|numéro|número|de|no|nr|mit|with|avec|con|com|au|bis|to)\.?$", re.IGNORECASE)
+_OPEN_WORD = re.compile(r"\b(?:the|a|an|of|in|and|whether|for|to|der|die|das|den|dem|von|und|mit|le|la|les|de|du|des|et|que|el|los|las|del|y|o|os|as|da|do|e|em|na|no)$", re.IGNORECASE)
 _NUMBERED_HEADER = re.compile(r"(?:\d{1,5}(?: {3,}|\t+).*[^\W\d_]{2}.*|.*[^\W\d_]{2}.*(?: {3,}|\t+)\d{1,5})")
 _SITE_TITLE = re.compile(r"[A-ZÀ-Þ]\w+(?: [A-ZÀ-Þ]\w+)?, [A-ZÀ-Þ]")
 _ISSUE = re.compile(r".{2,60} [—–-] ?(?:No|Nr|N[º°]|Vol|V0l|N0|Núm|Num|Heft|Bd)\.? ?\S{1,6}", re.IGNORECASE)
@@ -133,42 +135,58 @@ def _odd(part: str) -> bool:
     return bool(_ODD.search(part)) and not _ORDINAL.fullmatch(part)
 
 
+def _key(line: str) -> str:
+    return skeleton(re.sub(r"[\d\W_]+", "", line))
+
+
 def layout(texts: list[str]) -> list[list[str]]:
     """``header``, ``page_number``, ``blank`` or ``text`` for every line of a document's chunks.
 
     Lines that come back within the document (but for digits and misreadings), stand beside a page
-    number, have one in a column of their own, are all in capitals or name an issue are headers if no
-    sentence runs through them.
+    number, have one in a column of their own, are all in capitals or name an issue are headers. A line
+    that could as well begin a sentence is one only if its wording is a header elsewhere.
     """
     split = [t.split("\n") for t in texts]
-    again = Counter(skeleton(re.sub(r"[\d\W_]+", "", line)) for lines in split for line in lines if line.strip() and not line.rstrip().endswith((".", ",", ";")) and len(line) < 110)
-    out = []
-    for lines in split:
+    again = Counter(_key(line) for lines in split for line in lines if line.strip() and not line.rstrip().endswith((".", ",", ";")) and len(line) < 110)
+    out, unsure, sure = [], [], set()
+    for number, lines in enumerate(split):
         kinds = []
         stripped = [line.strip() for line in lines]
         width = max((len(s) for s in stripped), default=0)
+        said = ""  # the last line of text so far
         for i, s in enumerate(stripped):
             before = stripped[i - 1] if i else ""
             after = stripped[i + 1] if i + 1 < len(lines) else ""
             if not s:
                 kinds.append("blank")
-            elif _PAGE.fullmatch(s) or (_DOTTED_PAGE.fullmatch(s) and not before):
+            elif _PAGE.fullmatch(s) or (_DOTTED_PAGE.fullmatch(s) and not (before and _LEADS_TO_NUMBER.search(before))):
                 kinds.append("page_number")
             elif _NUMBERED_HEADER.fullmatch(s) and len(s) < 120 or _ISSUE.fullmatch(s):
                 kinds.append("header")
+                sure.add(_key(s))
             else:
                 letters = [c for c in s if c.isalpha()]
                 capitals = len(letters) > 5 and sum(c.isupper() for c in letters) > 0.8 * len(letters)
                 open_end = s[-1] not in ".,;" + _CUT
-                key = skeleton(re.sub(r"[\d\W_]+", "", s))
-                beside = _PAGE.fullmatch(before) or _DOTTED_PAGE.fullmatch(before) or (not before and i > 1 and (_PAGE.fullmatch(stripped[i - 2]) or _DOTTED_PAGE.fullmatch(stripped[i - 2])))
-                below = _PAGE.fullmatch(after) and len(s) < 0.9 * width
-                titled = s[0].isupper() and open_end
-                if capitals or (open_end and len(key) > 4 and again[key] > 1 and (s[0].isupper() or not s[0].isalpha())) or (titled and (beside or below) and (len(s) < 0.72 * width or _SITE_TITLE.match(s))):
+                key = _key(s)
+                near = [x for x in (before, after, stripped[i - 2] if not before and i > 1 else "") if x]
+                beside = any(_PAGE.fullmatch(x) or _DOTTED_PAGE.fullmatch(x) for x in near)
+                titled = (s[0].isupper() or not s[0].isalpha()) and open_end and not _OPEN_WORD.search(s)
+                follows = next((x for x in stripped[i + 1 :] if x and not _PAGE.fullmatch(x)), "")
+                # as a line of text it would begin a sentence that the next line goes on with
+                fits = (not said or said[-1] in ".!?") and follows[:1].islower()
+                if capitals or (titled and not fits and ((len(key) > 4 and again[key] > 1) or (beside and (len(s) < 0.72 * width or _SITE_TITLE.match(s))))):
                     kinds.append("header")
+                    sure.add(key)
                 else:
                     kinds.append("text")
+                    if titled and len(key) > 4 and (again[key] > 1 or beside):
+                        unsure.append((number, i, key))
+                    said = s
         out.append(kinds)
+    for number, i, key in unsure:
+        if key in sure:
+            out[number][i] = "header"
     return out
 
 
