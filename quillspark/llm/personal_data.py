@@ -35,6 +35,8 @@ _NUMBERED = re.compile(r"(?<![\w@.-])(?:(?!DNI|NIF|NIE|NSS|ID\b)[A-Z]{1,3}[ -]?)
 _NAME_TAIL = re.compile(r"(?:\s{1,2}(?:[A-ZÀ-Þ]\.)){0,2}\s{1,2}(?:(?:de la|de|du|van der|van|von|zu|da|do|dos|del|la|DE|DU|VAN|VON|ZU|DA|DO)\s{1,2})?([A-ZÀ-Þ][\wÀ-ÿ']+(?:-[A-ZÀ-Þ][\wÀ-ÿ']+)?)")
 _SURNAME_FIRST = re.compile(r"((?:(?:de|du|van|von|zu|da|do|dos|del) )?[A-ZÀ-Þ][\wÀ-ÿ']+(?:-[A-ZÀ-Þ][\wÀ-ÿ']+)?),\s{1,2}$")
 _INITIAL = re.compile(r"(?<![\w.&-])(?:[A-ZÀ-Þ]\. ?){1,2}(?:(?:de|van|von|zu|da|do|dos|del) )?([A-ZÀ-Þ][a-zß-ÿ']+(?:-[A-ZÀ-Þ][a-zß-ÿ']+)?)")
+# After street and number: a floor or flat, then postcode and town in either order.
+_TOWN = re.compile(r"\.?(?:,? (?:Floor|Apt|Flat|Unit|Suite|piso|andar|étage|Etage|bâtiment) ?\w{1,4})?(?:, (?:\d{4,5}(?:-\d{3})? [A-ZÀ-Þ][\w-]+|[A-ZÀ-Þ][\w-]+(?: \d{5})?))?")
 _FRENCH = re.compile(r"\b(?:le|la|les|de|du|par|rappelle|demande|notes)\s+$", re.IGNORECASE)
 _CALL = re.compile(r"(?:call|phone|tel\.?|tél\.?|telephone|fon|mobile|anrufen|appelez(?: le)?|llame al|llamar al|ligue para|teléfono|telefone|téléphone|\bau|\bal|\bhas|\bhat|\ba le|\btem|\btiene|number is|unter|erreichbar|bitte|\|)[\s:]*$", re.IGNORECASE)
 _CALL_AFTER = re.compile(r"^\s*(?:anrufen|if \w+ stays|si \w+ (?:ne|no)|se a \w+ não|\|)", re.IGNORECASE)
@@ -264,6 +266,8 @@ class Classifier:
                 scored.append((span[0] == "email", min(s, 8.0), span[2] - span[1], span))
         kept: list[tuple[int, int, str]] = []
         for _, _, _, (kind, start, end) in sorted(scored, key=lambda x: x[:3], reverse=True):
+            if kind == "address":
+                end = _TOWN.match(text, end).end()
             if all(end <= a or start >= b for a, b, _ in kept):
                 kept.append((start, end, kind))
         return sorted(kept)

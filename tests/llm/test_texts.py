@@ -48,11 +48,11 @@ NAMES = frozenset({"Petra", "Jonas", "Maike", "Rémy"})
 SAID = [
     ("Contact: Petra Q. Wenstham <petra.w@mail.zo.example>", {("person_name", "Petra Q. Wenstham"), ("email", "petra.w@mail.zo.example")}),
     ("As Dr. Jonas Farsby noted, it was not ready.", {("person_name", "Jonas Farsby")}),
-    ("Maike zu Tolstinger, wohnhaft Tolikostr. 11a, 87763 Dodofurt, Tel. +49 (0)30 23125-479", {("person_name", "Maike zu Tolstinger"), ("address", "Tolikostr. 11a"), ("phone", "+49 (0)30 23125-479")}),
+    ("Maike zu Tolstinger, wohnhaft Tolikostr. 11a, 87763 Dodofurt, Tel. +49 (0)30 23125-479", {("person_name", "Maike zu Tolstinger"), ("address", "Tolikostr. 11a, 87763 Dodofurt"), ("phone", "+49 (0)30 23125-479")}),
     ("Passport or national id 960-55-8366 was recorded at the desk.", {("id_number", "960-55-8366")}),
     ("Part no. 497-22-5250 fits the Zigapi Bridge Mount.", set()), ("Run tide@97.86.1 with @tide as decorator.", set()), ("Sensor X41 reported 17371737 pulses.", set()),
-    ("Please call (711) 555-0102 ext. 65 if it stays offline.", {("phone", "(711) 555-0102 ext. 65")}), ("Send the form to 173 Munu Ave., Bodumouth 59164 soon.", {("address", "173 Munu Ave")}),
-    ("Rémy Neau, qui habite 332 avenue du Solnefo, 71284 Ven", {("person_name", "Rémy Neau"), ("address", "332 avenue du Solnefo")}), ("write to desk (at) zo (dot) test", {("email", "desk (at) zo (dot) test")}), ("", set()),
+    ("Please call (711) 555-0102 ext. 65 if it stays offline.", {("phone", "(711) 555-0102 ext. 65")}), ("Send the form to 173 Munu Ave., Bodumouth 59164 soon.", {("address", "173 Munu Ave., Bodumouth 59164")}),
+    ("Rémy Neau, qui habite 332 avenue du Solnefo, 71284 Ven", {("person_name", "Rémy Neau"), ("address", "332 avenue du Solnefo, 71284 Ven")}), ("write to desk (at) zo (dot) test", {("email", "desk (at) zo (dot) test")}), ("", set()),
 ]
 
 
