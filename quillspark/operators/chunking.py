@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.functions.binding import let
 from quillspark.functions.hashing import chunk_id
 from quillspark.functions.signals import words
 
@@ -30,11 +31,14 @@ class ChunkOptions:
 
 def token_windows(tokens: Column, options: ChunkOptions) -> Column:
     """Array of token arrays: one window if all fits, else windows that overlap; short last ones go."""
-    n, stride = F.size(tokens), options.max_tokens - options.overlap_tokens
-    # windows start every stride until one reaches the end
-    count = F.when(n > options.max_tokens, F.ceil((n - options.max_tokens) / F.lit(float(stride))).cast("int")).otherwise(0)
-    cut = F.transform(F.sequence(F.lit(0), count), lambda i: F.slice(tokens, i * stride + 1, options.max_tokens))
-    return F.filter(cut, lambda w: F.size(w) >= F.lit(max(1, options.min_tokens)))
+    stride = options.max_tokens - options.overlap_tokens
+
+    def cut(t: Column) -> Column:
+        # windows start every stride until one reaches the end
+        more = F.when(F.size(t) > options.max_tokens, F.ceil((F.size(t) - options.max_tokens) / F.lit(float(stride))).cast("int")).otherwise(0)
+        return F.transform(F.sequence(F.lit(0), more), lambda i: F.slice(t, i * stride + 1, options.max_tokens))
+
+    return F.filter(let(tokens, cut), lambda w: F.size(w) >= F.lit(max(1, options.min_tokens)))
 
 
 def window_chunks(documents: DataFrame, key: str = "doc_id", text: str = "text", options: ChunkOptions | None = None) -> DataFrame:
