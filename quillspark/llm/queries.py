@@ -153,5 +153,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+# White space of any script, as both dialects' classes differ.
+_SPACE = r"[\s\x{000B}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+_SQL = {
+    "p1_found": rf"""WITH l AS (SELECT id, doc_id, domain, unnest(range(0, len(ls))) AS line_no, ls FROM (SELECT id, doc_id, domain, string_split(text, chr(10)) AS ls FROM chunks
+  WHERE id IS NOT NULL AND doc_id IS NOT NULL AND domain IS NOT NULL AND text IS NOT NULL AND ocr_confidence IS NULL)),
+n AS (SELECT id, doc_id, domain, line_no::INT AS line_no, trim(regexp_replace(regexp_replace(lower(ls[line_no + 1]), '{_SPACE}', ' ', 'g'), '\p{{Nd}}+', '0', 'g')) AS item FROM l WHERE regexp_matches(ls[line_no + 1], '\p{{L}}')),
+f AS (SELECT domain, item FROM n GROUP BY domain, item HAVING count(DISTINCT doc_id) >= 6)
+SELECT DISTINCT id, line_no FROM n JOIN f USING (domain, item)""",
+    "p10_found": """WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, i::BIGINT, 240)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 238)) AS i FROM documents WHERE length(text) >= 240)),
+s AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1), k AS (SELECT doc_id, h FROM w JOIN s USING (h))
+SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM k a JOIN k b ON a.h = b.h AND a.doc_id < b.doc_id""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that it can express; the others are tested against brute force or round trips."""
+    return dict(_SQL)
