@@ -269,9 +269,10 @@ _LAST = "SELECT id, accessible, status_code, content_type, error FROM (SELECT *,
 _SOURCES = "SELECT id, url, title, tags FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY url DESC NULLS LAST, title DESC NULLS LAST, tags DESC NULLS LAST) AS r FROM sources WHERE id IS NOT NULL) WHERE r = 1"
 
 
-@_query(_LAST)
+@_query(f"SELECT id, accessible, status_code::INT::VARCHAR AS status_code, content_type, error FROM ({_LAST})")
 def latest_checks(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.latest_checks(table(spark, folder, "source_checks")).drop("checked_at", "arrived_at")
+    last = reports.latest_checks(table(spark, folder, "source_checks")).drop("checked_at", "arrived_at")
+    return last.withColumn("status_code", F.col("status_code").cast("int").cast("string"))
 
 
 @_query(
