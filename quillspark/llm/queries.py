@@ -105,9 +105,9 @@ def p9_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill(_packed(spark, folder), _kinds(spark, folder))
 
 
-def _neighbours(spark: SparkSession, folder: str, least: float) -> DataFrame:
+def _neighbours(spark: SparkSession, folder: str, least: float, **cells: int | None) -> DataFrame:
     records = table(spark, folder, "chunk_vectors").where(F.col("embedding_model") == "vec-small-2")
-    return similar_vectors.nearest(records, dim=128, k=5, least=least)
+    return similar_vectors.nearest(records, dim=128, k=5, least=least, **cells)
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,7 +115,8 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_nearest(spark: SparkSession, folder: str) -> DataFrame:
-    return _neighbours(spark, folder, -1.0)
+    # neighbours of any similarity: few large cells, as unlike ones seldom share a small cell
+    return _neighbours(spark, folder, -1.0, coarser=20, overlap=None, block=32_768)
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Every vector goes to its few nearest cells of a coarse quantizer. In a cell, each vector is kept as one
 bit for each rotated coordinate of its residual and two correction scalars. Inner products are estimated
-from the packed bits and the query's four bit planes; with the estimate comes an error bound, and only
-vectors whose upper bound reaches the k-th best lower bound are reranked with exact similarities.
+from the bits and the query's four-bit coordinates; with the estimate comes an error bound, and only
+vectors whose upper bound reaches the k-th best similarity found so far are reranked exactly.
 """
 
 from __future__ import annotations
@@ -63,37 +63,27 @@ class Codes:
         bits = self.turned > 0
         self.factor = np.maximum(np.abs(self.turned).sum(1) / np.sqrt(self.dim), 1e-6)
         self.slack = np.sqrt(np.maximum(1 - self.factor**2, 0)) / self.factor / np.sqrt(max(self.dim - 1, 1))
-        self.words = self._packed(bits)
-        self.ones = bits.sum(1).astype(np.float32)
+        # the bits as signs, with the correction scalars: an estimate is one product in single precision
+        self.signs = np.where(bits, 1, -1).astype(np.float32) * (self.radius / self.factor / np.sqrt(self.dim)).astype(np.float32)[:, None]
         self.along = vectors @ centre
         self.centre2 = float(centre @ centre)
 
-    @staticmethod
-    def _packed(bits: np.ndarray) -> np.ndarray:
-        bytes_ = np.packbits(bits, axis=1)
-        pad = -bytes_.shape[1] % 8
-        return np.ascontiguousarray(np.pad(bytes_, ((0, 0), (0, pad)))).view(np.uint64)
-
-    def planes(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Bit planes, offset, step and sum of the four-bit coordinates of some vectors as queries."""
+    def quantized(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Four-bit coordinates of some vectors as queries, and their step."""
         turned = self.turned[rows]
         low = turned.min(1)
         step = np.maximum((turned.max(1) - low) / (2**PLANES - 1), 1e-12)
-        levels = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
-        planes = np.stack([self._packed((levels >> j) & 1 == 1) for j in range(PLANES)])
-        return planes, low, step, low * self.dim + step * levels.sum(1)
+        return low[:, None] + step[:, None] * np.rint((turned - low[:, None]) / step[:, None]), step
 
     def bounds(self, queries: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray]:
         """Estimated similarities of some vectors to all, and how far off they may be."""
-        planes, low, step, total = self.planes(queries)
-        dots = np.zeros((len(queries), len(self.words)), np.float32)
-        for j in range(PLANES):
-            for w in range(self.words.shape[1]):
-                dots += np.float32(1 << j) * np.bitwise_count(planes[j, :, w, None] & self.words[None, :, w])
-        inner = (2 * (low[:, None] * self.ones[None] + step[:, None] * dots) - total[:, None]) / np.sqrt(self.dim)
-        scale = self.radius[queries, None] * self.radius[None]
-        estimate = self.along[queries, None] + self.along[None] - self.centre2 + scale * inner / self.factor[None]
-        return estimate, scale * (width * self.slack[None] + step[:, None] * 0.05)
+        values, step = self.quantized(queries)
+        radius = self.radius[queries]
+        estimate = (values * radius[:, None]).astype(np.float32) @ self.signs.T
+        estimate += (self.along[queries, None] - self.centre2).astype(np.float32)
+        estimate += self.along.astype(np.float32)
+        mine = np.stack([radius, radius * step * 0.05], 1).astype(np.float32)
+        return estimate, mine @ np.stack([self.radius * width * self.slack, self.radius]).astype(np.float32)
 
 
 def _cell_neighbours(cell: pa.Table, centroids: np.ndarray, turn: np.ndarray, k: int, least: float, width: float, tie: float) -> pa.Table:
@@ -121,13 +111,24 @@ def _cell_neighbours(cell: pa.Table, centroids: np.ndarray, turn: np.ndarray, k:
         rows = np.arange(begin, min(begin + 256, len(kinds)))
         estimate, off = codes.bounds(rows, width)
         estimate[:, ~stored] = off[:, ~stored] = -2
-        lower = estimate - off
-        lower[np.arange(len(rows)), rows] = -9
-        kth = -np.partition(-lower, min(k, lower.shape[1]) - 1, axis=1)[:, min(k, lower.shape[1]) - 1]
+        # the best by estimate, reranked: their k-th similarity is what others must reach
+        estimate[np.arange(len(rows)), rows] = -9
+        first = min(4 * k, estimate.shape[1])
+        likely = np.argpartition(estimate, -first, axis=1)[:, -first:]
+        reached = np.einsum("id,ijd->ij", exact[rows], exact[likely])
+        reached[np.take_along_axis(estimate, likely, 1) <= -2] = -9
+        kth = -np.partition(-reached, min(k, first) - 1, axis=1)[:, min(k, first) - 1]
         upper = estimate + off
         upper[np.arange(len(rows)), rows] = -9
-        q, c = np.nonzero(upper >= np.maximum(np.minimum(kth, 1) - tie, least)[:, None])
-        s = np.einsum("ij,ij->i", exact[rows[q]], exact[c]) if len(q) else np.zeros(0)
+        floor = np.maximum(np.minimum(kth, 1) - 2 * tie, least)[:, None]
+        open_ = upper >= floor.astype(np.float32) - np.float32(1e-6)
+        if np.count_nonzero(open_) > open_.size // 200:  # so many that one product is cheaper than taking them out
+            all_ = exact[rows] @ exact.T
+            q, c = np.nonzero(open_ & (all_ >= floor))
+            s = all_[q, c]
+        else:
+            q, c = np.nonzero(open_)
+            s = np.einsum("ij,ij->i", exact[rows[q]], exact[c]) if len(q) else np.zeros(0)
         # a vector is as similar to its other members as can be
         own = np.flatnonzero((number[rows] > 1) | (stored[rows] & (np.array([len(asking[r]) for r in rows]) > number[rows])))
         q, c, s = np.concatenate([q, own]), np.concatenate([c, rows[own]]), np.concatenate([s, np.ones(len(own))])
@@ -149,8 +150,8 @@ def _cell_neighbours(cell: pa.Table, centroids: np.ndarray, turn: np.ndarray, k:
 
 
 def nearest(
-    df: DataFrame, key: str = "id", embedding: str = "embedding", dim: int = 128, k: int = 5, least: float = -1.0, cells: int | None = None, overlap: int = 3,
-    sample: int = 20_000, block: int = 16_384, width: float = 2.5, tie: float = 1e-6,
+    df: DataFrame, key: str = "id", embedding: str = "embedding", dim: int = 128, k: int = 5, least: float = -1.0, cells: int | None = None, overlap: int | None = 3,
+    coarser: int = 1, sample: int = 20_000, block: int = 16_384, width: float = 2.5, tie: float = 1e-6,
 ) -> DataFrame:
     """``id, neighbour, similarity``: for every record the records that fewer than ``k`` others beat.
 
@@ -159,13 +160,15 @@ def nearest(
     all zero or not finite have no neighbours and are none; null ids are left out. Repeated rows are one
     record; an id with several vectors is matched by each. Only ``sample`` rows fit the coarse quantizer
     (with ``cells`` centroids, by default the root of the row count, at most 8192); every row is indexed
-    in its ``overlap`` nearest cells. A cell larger than ``block`` rows is cut into blocks, and its
+    in its ``overlap`` nearest cells. There are ``coarser`` times fewer cells if asked for; without an
+    ``overlap`` it is 3 up to 15 cells and grows with more, as neighbours of little similarity would
+    share ever fewer cells. A cell larger than ``block`` rows is cut into blocks, and its
     queries visit each of them.
     """
     spark = df.sparkSession
     source = df.where(F.col(key).isNotNull() & (F.size(embedding) == dim)).select(F.col(key).cast("string").alias("id"), F.col(embedding).cast("array<float>").alias("embedding"))
     rows = source.count()
-    cells = cells or int(min(8192, max(1, round(rows**0.5))))
+    cells = cells or int(min(8192, max(1, round(rows**0.5 / coarser))))
     sample = max(sample, 8 * cells)
     every = max(1, rows // sample)
     picked = source.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("embedding").limit(2 * sample).toArrow()
@@ -173,7 +176,7 @@ def nearest(
     if not len(points):
         return spark.createDataFrame([], "id string, neighbour string, similarity double")
     centroids = fit_cells(points, cells)
-    overlap = min(overlap, len(centroids))
+    overlap = min(overlap or max(3, round(3 * (len(centroids) / 15) ** 0.35)), len(centroids))
 
     def closest(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at, vectors = _vectors(batch.column("embedding"), dim)

@@ -69,6 +69,20 @@ def test_nearest_vectors_recall(spark):
     assert similar_vectors.nearest(frame.limit(0), dim=32).count() == 0
 
 
+def test_all_five_nearest_are_found_without_a_least_similarity(spark, tmp_path):
+    from quillspark.llm import queries
+
+    x = np.random.default_rng(8).standard_normal((2000, 128)).astype(np.float32)
+    frame = spark.createDataFrame([(f"v{i}", v.tolist(), "vec-small-2") for i, v in enumerate(x)], "id string, embedding array<float>, embedding_model string")
+    frame.write.parquet(str(tmp_path / "chunk_vectors.parquet"))
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    similar = unit @ unit.T
+    np.fill_diagonal(similar, -9)
+    truth = {(f"v{i}", f"v{j}") for i, row in enumerate(similar) for j in np.argsort(-row)[:5]}
+    got = {(r.id, r.neighbour) for r in queries.p3_nearest(spark, str(tmp_path)).collect()}
+    assert len(got & truth) >= 0.9 * len(truth)
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(5)
     x = rng.standard_normal((300, 64))
