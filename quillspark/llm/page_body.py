@@ -129,22 +129,35 @@ def _arrays(pages: list[Page], common: frozenset[str], memo: dict[str, int]) ->
     return np.array(words, np.int64), np.array(ends, np.int64), np.array(shapes, np.float32).reshape(-1, _SHAPES), np.array([len(p.lines) for p in pages], np.int64)
 
 
-def train(pages: list[tuple[str, str | None]], rounds: int = 5) -> tuple[BiLstm, frozenset[str]]:
-    """A labeller fitted on sampled pages, and the words common enough to be read."""
-    sites: dict[str, set] = defaultdict(set)
-    times: dict[str, int] = defaultdict(int)
-    for text, domain in pages:
-        for word in set(_WORD.findall(text.lower())):
-            sites[word].add(domain)
-            times[word] += 1
-    common = frozenset(w for w, n in times.items() if n >= 6 and (len(sites[w]) >= 3 or n >= 40) or len(w) < 4)
+def common_words(pages: DataFrame) -> frozenset[str]:
+    """Words common enough to be read: those of enough pages and sites, counted over all pages.
+
+    Counts are summed up per batch and site before they move.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            times: dict[tuple[str, str], int] = defaultdict(int)
+            for text, domain in zip(batch.column("text").to_pylist(), batch.column("domain").to_pylist()):
+                for word in set(_WORD.findall(text.lower())):
+                    times[word, domain] += 1
+            yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in times], pa.string()), "domain": pa.array([d for _, d in times], pa.string()), "n": pa.array(list(times.values()), pa.int64())})
+
+    counted = pages.select("text", "domain").mapInArrow(count, "word string, domain string, n bigint").groupBy("word", "domain").agg(F.sum("n").alias("n"))
+    words = counted.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("sites"))
+    often = (F.col("n") >= 6) & ((F.col("sites") >= 3) | (F.col("n") >= 40)) | (F.length("word") < 4)
+    return frozenset(words.where(often).select("word").toArrow().column("word").to_pylist())
+
+
+def train(pages: list[tuple[str, str | None]], common: frozenset[str], rounds: int = 5) -> BiLstm:
+    """A labeller fitted on sampled pages."""
     read = [Page(text, domain, common) for text, domain in pages]
     words, ends, shapes, sizes = _arrays(read, common, {})
     labels = np.array([p.weak(i) for p in read for i in range(len(p.lines))], np.float32).reshape(-1, 2)
     model = BiLstm(BUCKETS, _SHAPES)
     if len(labels):
         model.fit(words, ends, shapes, sizes, labels[:, 0], labels[:, 1], rounds)
-    return model, common
+    return model
 
 
 def furniture(chunks: DataFrame, sample: int = 2500, threshold: float = 0.5) -> DataFrame:
@@ -152,13 +165,14 @@ def furniture(chunks: DataFrame, sample: int = 2500, threshold: float = 0.5) ->
 
     Pages are chunks of format html with a text and an id; others have no rows. A page delivered twice
     comes out once. At most ``sample`` pages, picked by hash, train the labeller; every line of every
-    page is labelled by it.
+    page is labelled by it. Which words are common is counted over all pages.
     """
     pages = chunks.where("id is not null and text is not null and format = 'html'").select("id", F.coalesce("domain", F.lit("")).alias("domain"), "text")
     rows = pages.select("id").count()
     every = max(1, rows // sample)
     picked = pages.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).orderBy(F.xxhash64("id"), "domain").limit(sample).toArrow().to_pydict()
-    model, common = train(list(zip(picked["text"], picked["domain"])))
+    common = common_words(pages)
+    model = train(list(zip(picked["text"], picked["domain"])), common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}

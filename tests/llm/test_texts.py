@@ -129,6 +129,15 @@ def test_page_body(spark):
     assert page_body.boilerplate_lines(frame.limit(0)).count() == 0
 
 
+def test_common_words_are_of_all_pages_not_of_the_sample(spark, monkeypatch):
+    seen = []
+    real = page_body.Page.__init__
+    monkeypatch.setattr(page_body.Page, "__init__", lambda self, text, domain, common: (seen.append(common), real(self, text, domain, common))[1])
+    rows = [(f"p{i}", f"www.site{i % 5}.example", "html", f"Partilhe\nThe page {i} is long enough.") for i in range(40)]
+    page_body.furniture(spark.createDataFrame(rows, "id string, domain string, format string, text string"), sample=4)
+    assert seen and all({"partilhe", "page"} <= common for common in seen)
+
+
 # --- scans -------------------------------------------------------------------------------------------
 
 
