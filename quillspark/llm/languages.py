@@ -115,38 +115,49 @@ def sentences(text: str, scanned: bool) -> Iterator[tuple[int, int, bool]]:
             begin = end
 
 
-def _evidence(model_samples: list[tuple[str, str]], least_chars: int, margin: float):
+def _evidence(model_samples: list[tuple[str, str]], least_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Likelihoods(model_samples)
         k = len(model.languages)
         for batch in batches:
             texts, scans = batch.column("text").to_pylist(), batch.column("scanned").to_pylist()
-            score, whole_chars, parts = [], [], []
+            score, told = [], []
             pieces = [list(sentences(text or "", scanned)) for text, scanned in zip(texts, scans)]
             scores = model.texts([text[a:b] for text, spans in zip(texts, pieces) for a, b, _ in spans])
-            tops = scores.argmax(1) if len(scores) else np.zeros(0, int)
-            lead = (-np.partition(-scores, 1, axis=1)[:, :2] @ np.array([1.0, -1.0])) if k > 1 and len(scores) else np.full(len(scores), np.inf)
             at = 0
             for found in pieces:
-                total, chars, spans = scores[at : at + len(found)].sum(0), np.zeros(k, np.int64), []
-                for i, (start, end, whole) in enumerate(found, at):
-                    if end - start < least_chars or not whole or lead[i] < margin:
-                        continue
-                    top = int(tops[i])
-                    chars[top] += end - start
-                    if spans and spans[-1]["lang"] == model.languages[top]:
-                        spans[-1]["end"] = end
-                        spans[-1]["score"] = spans[-1]["score"] + scores[i]
-                    else:
-                        spans.append({"lang": model.languages[top], "start": start, "end": end, "score": scores[i]})
+                score.append(scores[at : at + len(found)].sum(0).tolist())
+                told.append([{"start": a, "end": b, "score": scores[i].tolist()} for i, (a, b, whole) in enumerate(found, at) if whole and b - a >= least_chars])
                 at += len(found)
+            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.list_(pa.float32()))]))
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("id", "domain", "label")} | {"score": pa.array(score, pa.list_(pa.float64())), "told": pa.array(told, kind)})
+
+    return run
+
+
+def _decided(names: list[str]):
+    """Each whole sentence's language by its text and the other evidence on its chunk (``bias``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole_chars, parts = [], []
+            for told, bias in zip(batch.column("told").to_pylist(), batch.column("bias").to_pylist()):
+                chars, spans, other = np.zeros(len(names), np.int64), [], np.array(bias)
+                tops = (np.array([s["score"] for s in told]) + other).argmax(1).tolist() if told else []
+                for s, top in zip(told, tops):
+                    chars[top] += s["end"] - s["start"]
+                    if spans and spans[-1]["lang"] == names[top]:
+                        spans[-1]["end"] = s["end"]
+                        spans[-1]["score"] = spans[-1]["score"] + np.array(s["score"])
+                    else:
+                        spans.append({"lang": names[top], "start": s["start"], "end": s["end"], "score": np.array(s["score"]) + other})
                 for span in spans:
                     e = np.exp(span["score"] - span["score"].max())
                     span["confidence"] = float(e.max() / e.sum())
                     del span["score"]
-                score.append(total.tolist()), whole_chars.append(chars.tolist()), parts.append(spans)
+                whole_chars.append(chars.tolist()), parts.append(spans)
             kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("confidence", pa.float64())]))
-            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("id", "domain", "label")} | {"score": pa.array(score, pa.list_(pa.float64())), "chars": pa.array(whole_chars, pa.list_(pa.int64())), "parts": pa.array(parts, kind)})
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("id", "label", "post")} | {"chars": pa.array(whole_chars, pa.list_(pa.int64())), "parts": pa.array(parts, kind)})
 
     return run
 
@@ -158,12 +169,12 @@ def _probabilities(scores: Column, k: int) -> Column:
     return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
 
 
-def languages(chunks: DataFrame, samples: DataFrame, least_chars: int = 60, margin: float = 4.0, smoothing: float = 20.0, most_samples: int = 20_000) -> DataFrame:
+def languages(chunks: DataFrame, samples: DataFrame, least_chars: int = 60, smoothing: float = 20.0, most_samples: int = 20_000) -> DataFrame:
     """One row per chunk id: ``id, label, lang, language_confidence, main, whole, parts``.
 
     ``lang`` is the language of the whole chunk after fusion of all evidence; ``label`` the code that the
     declared label names, or null; ``main`` the language in which most characters of whole sentences are
-    (null without any); ``whole`` all languages that have a whole sentence of ``least_chars``; ``parts``
+    (null without any), each decided by text, label and host together; ``whole`` all languages that have a whole sentence of ``least_chars``; ``parts``
     the mixed-language segments. Null and blank texts are judged by label and host alone. Only
     ``most_samples`` labelled samples fit the text model. Rows without id are left out; an id delivered
     several times has one row. Evidence of a host is summed up before it is joined, so a host with a
@@ -176,12 +187,12 @@ def languages(chunks: DataFrame, samples: DataFrame, least_chars: int = 60, marg
     if not k:
         raise ValueError("no labelled samples")
     narrow = chunks.where("id is not null").select("id", F.coalesce("domain", F.lit("")).alias("domain"), label_code(F.col("lang")).alias("label"), "text", F.col("ocr_confidence").isNotNull().alias("scanned"))
-    schema = "id string, domain string, label string, score array<double>, chars array<bigint>, parts array<struct<lang:string,start:int,end:int,confidence:double>>"
-    read = narrow.mapInArrow(_evidence(fitted, least_chars, margin), schema)
+    schema = "id string, domain string, label string, score array<double>, told array<struct<start:int,end:int,score:array<float>>>"
+    read = narrow.mapInArrow(_evidence(fitted, least_chars), schema)
     # one row an id: deliveries have the same text; of different labels the first that names a language
-    read = staged(read, "evidence").groupBy("id").agg(F.max(F.struct(F.size("parts").alias("n"), "label", "domain", "score", "chars", "parts")).alias("r")).select("id", "r.*").drop("n")
+    read = staged(read, "evidence").groupBy("id").agg(F.max(F.struct(F.size("told").alias("n"), "label", "domain", "score", "told")).alias("r")).select("id", "r.*").drop("n")
     suffix = F.regexp_extract("domain", r"([^.]*)$", 1)
-    likely = read.select("id", "domain", suffix.alias("suffix"), "label", "score", "chars", "parts", _probabilities(F.transform("score", lambda x: x * 0.5), k).alias("p"))
+    likely = read.select("id", "domain", suffix.alias("suffix"), "label", "score", "told", _probabilities(F.transform("score", lambda x: x * 0.5), k).alias("p"))
     likely = likely.withColumn("sure", F.array_max("p") > 0.9)
 
     # what labels say, for each language of the text: at most k * (k + 1) rows
@@ -204,8 +215,10 @@ def languages(chunks: DataFrame, samples: DataFrame, least_chars: int = 60, marg
     hosts = hosts.select(F.col("domain").alias("_domain"), F.array(*[F.log((F.col(f"n{i}") + smooth * ended[i]) / (of("n") + smooth)) for i in range(k)]).alias("prior"))
 
     joined = likely.join(hosts, F.col("domain") == F.col("_domain"), "left").withColumn("_label", label_scores)
-    fused = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get("score", i) * 0.5 + F.get("_label", i) + F.get("prior", i))
-    posterior = joined.withColumn("post", _probabilities(fused, k))
+    joined = joined.withColumn("bias", F.zip_with("_label", "prior", lambda a, b: a + b))
+    fused = F.zip_with("score", "bias", lambda a, b: a * 0.5 + b)
+    decided = joined.select("id", "label", "told", "bias", _probabilities(fused, k).alias("post"))
+    posterior = decided.mapInArrow(_decided(names), "id string, label string, post array<double>, chars array<bigint>, parts array<struct<lang:string,start:int,end:int,confidence:double>>")
     named = F.array(*[F.lit(n) for n in names])
     best = F.array_position("post", F.array_max("post")).cast("int")
     most = F.array_position("chars", F.array_max("chars")).cast("int")

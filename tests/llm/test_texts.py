@@ -34,6 +34,14 @@ def test_languages(spark):
         languages.languages(frame, spark.createDataFrame([], "lang string, text string"))
 
 
+def test_sentences_without_lead_are_decided_by_the_other_evidence(spark):
+    names = "Zork Blin Tavo Kreb Molu Sart Pilo Dran Vesk Humo Trel Gask Nolu Berd."
+    rows = [(f"e{i}", "x.example", "en", EN, None, "") for i in range(30)] + [(f"d{i}", "y.example", "de", DE, None, "") for i in range(30)]
+    rows += [("a", "x.example", None, names, None, ""), ("b", "y.example", "en", names + "\n" + EN * 2, None, ""), ("c", "y.example", None, names, None, "")]
+    got = {r.id: r for r in languages.languages(chunk_frame(spark, rows), spark.createDataFrame(SAMPLES, "lang string, text string")).collect()}
+    assert (got["a"].main, got["c"].main, got["b"].main) == ("en", "de", "en") and got["a"].whole == ["en"]
+
+
 def test_accuracy_on_held_out_samples(spark, data):
     rows = [(r.lang, r.text) for r in spark.read.parquet(f"{data}/lang_samples.parquet").collect()]
     random.Random(1).shuffle(rows)
