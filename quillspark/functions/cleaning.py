@@ -17,8 +17,8 @@ from quillspark.functions.batched import batched
 
 # Page chrome, line keys, headers, bullets, dashes, compounds and ligatures.
 CHROME = [
-    r"Skip to (?:main )?content", r"Navigation menu", r"Main menu", r"Breadcrumbs?", r"You are here:", r"Home >", r"Back to top", r"Print this page",
-    r"Share this (?:page|article)", r"Last updated:?\s*[0-9/\-]+", r"Published:?\s*[0-9/\-]+", r"Tags?:\s*[\w\s,]+", r"Categories?:\s*[\w\s,]+",
+    r"Skip to (?:main )?content", r"Navigation menu", r"Main menu", r"Breadcrumbs?", r"You are here:", r"Home\s*>\s*", r"Back to top", r"Print this page",
+    r"Share this (?:page|article)", r"Last updated:?\s*\d+", r"Published:?\s*\d+", r"Tags?:\s*[\w\s,]+", r"Categories?:\s*[\w\s,]+",
 ]
 LINE_KEYS = ["title", "url", "author", "date", "tags", "category"]
 HEADERS = [
@@ -46,23 +46,22 @@ def strip_frontmatter(text: Column) -> Column:
     steps = [
         (r"(?sU)^---\s*\n.*?\n---\s*\n", ""), (r"(?sU)^-\s+-\s+-.*?-\s+-\s+-\s*\n", ""), (r"(?U)-\s+-\s+-\s+(?:title|url|hostname|description|sitename|date):[^-]*-\s+-\s+-", ""),
         (r"(?i)<meta[^>]*>", ""), (r"(?is)<title[^>]*>.*?</title>", ""),
-        *[(f"(?iU){p}", "") for p in CHROME], (rf"(?imU)^(?:{'|'.join(LINE_KEYS)}):\s*[^\n]*?\n", ""), (r"(?U)\n\s*\n\s*\n", "\n\n"),
+        *[(f"(?iU){p}", "") for p in CHROME], *[(rf"(?imU)^{k}:\s*[^\n]*\n", "") for k in LINE_KEYS], (r"(?U)\n\s*\n\s*\n", "\n\n"),
     ]
     return trim_space(_chain(text, steps))
 
 
 def fix_hyphenation(text: Column) -> Column:
     """Joins words cut at line ends, mends spacing and keeps only blank lines as breaks."""
-    steps = [("[­‧]", ""), (r"\b([a-z]+)-\s*\n\s*([a-z]+)\b", "$1$2")]
-    # a boundary is only looked for behind a first letter that fits, and like rules are one pass
-    steps += [("(?i)(" + "|".join(rf"{a[0]}(?<=\b{a[0]}){a[1:]}(?=\s+-\s+{b}\b)" for a, b in COMPOUNDS) + r")\s+-\s+", "$1-")]
-    steps += [("(?i)(" + "|".join(rf"{a[0]}(?<=\b{a[0]}){a[1:]}(?={b}\b)" for a, b in SPLIT_WORDS) + ")", "$1 ")]
-    steps += [(r"(?<=[a-z])(?=[A-Z][a-z]+\b)(?<=\b[a-z]{1,40})", " ")]
-    steps += [(rf"(?i){a[0]}(?<=\b{a[0]}){a[1:]}\s+{b}\b", to) for a, b, to in [("for", "example", "for example"), *[(a, b, a + b) for a, b in JOINED_WORDS]]]
+    steps = [("[­‧]", ""), (r"(?U)\b([a-z]+)-\s*\n\s*([a-z]+)\b", "$1$2")]
+    steps += [(rf"(?iU)\b{a}\s+-\s+{b}\b", f"{a}-{b}") for a, b in COMPOUNDS]
+    steps += [(rf"(?iU)\b({a})({b})\b", "$1 $2") for a, b in SPLIT_WORDS]
+    steps += [(r"(?U)\b([a-z]+)([A-Z][a-z]+)\b", "$1 $2")]
+    steps += [(rf"(?iU)\b{a}\s+{b}\b", to) for a, b, to in [("for", "example", "for example"), *[(a, b, a + b) for a, b in JOINED_WORDS]]]
     steps += [(f"[{BULLETS}‒]", "-"), ("[—–―⸺⸻]", " - ")]
     steps += [
-        (r"(?U)\s+([,;!?])", "$1"), (r":(?!//)(?=[A-Za-z])", ": "), (r"\.(?=[A-Z])", ". "), (r"([,;])(?=[A-Za-z])", "$1 "), (r"([0-9]+)\.\s+([0-9]+)", "$1.$2"), (r"([.!?])([A-Z])", "$1 $2"),
-        (r"[ \t]+", " "), (r" +\n", "\n"), (r"\n +", "\n"), (r"([.!?])\s*\n\s*([a-z])", "$1 $2"), ("\n\n", "§PARA§"), (r"(?U)\s+", " "), ("§PARA§", "\n\n"),
+        (r"(?U)\s+([,;!?])", "$1"), (r":(?!//)(?=[A-Za-z])", ": "), (r"\.(?=[A-Z])", ". "), (r"([,;])(?=[A-Za-z])", "$1 "), (r"(?U)([0-9]+)\.\s+([0-9]+)", "$1.$2"), (r"([.!?])([A-Z])", "$1 $2"),
+        (r"[ \t]+", " "), (r" +\n", "\n"), (r"\n +", "\n"), (r"(?U)([.!?])\s*\n\s*([a-z])", "$1 $2"), ("\n\n", "§PARA§"), (r"(?U)\s+", " "), ("§PARA§", "\n\n"),
     ]
     return _chain(text, steps)
 

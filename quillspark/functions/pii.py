@@ -22,6 +22,7 @@ NO_DATA = {
 MASKS = {"email": "[EMAIL_REDACTED]", "phone": "[PHONE_REDACTED]", "ssn": "[SSN_REDACTED]", "credit_card": "[CC_REDACTED]"}
 NO_NAMES = ["The Internet", "New York", "United States", "Web Services", "Machine Learning", "Artificial Intelligence", "User Guide"]
 FLAGS = ["email", "phone", "ssn", "credit_card", "ip_address", "person_name", "address", "id_number"]
+# What names and streets look like.
 _NAME = r"\b[A-Z][a-z]+ [A-Z][a-z]+(?:\s[A-Z][a-z]+)?\b"
 _STREET = r"(?i)\b[0-9]{1,5}\s+[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\s+(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln|Drive|Dr|Court|Ct|Circle|Cir|Place|Pl)\b"
 

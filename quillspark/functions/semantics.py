@@ -47,6 +47,7 @@ UNITS = [
     r"USD|EUR|GBP|JPY|\$|€|£|¥",
     r"%|percent|pct",
 ]
+# Capitalised pairs that are no persons.
 NO_PERSONS = ["United States", "New York", "Web Services", "Machine Learning"]
 
 
@@ -74,9 +75,9 @@ def units(text: Column, most: int = 20) -> Column:
 
 
 def math_expressions(text: Column, most: int = 10) -> Column:
-    """Distinct formulas in order, at most ``most``; the sides of simple equations stay in one line."""
+    """Distinct formulas in order, at most ``most``."""
     t = F.coalesce(text, F.lit(""))
-    patterns = [r"\$\$?[^$]+\$\$?", r"(?s)\\begin\{equation\}.*?\\end\{equation\}", r"(?s)\\begin\{align\}.*?\\end\{align\}", r"[A-Za-z]+\s*=\s*[^=+\-*/\n]+(?:[+\-*/][^=+\-*/\n]+)+"]
+    patterns = [r"\$\$?[^$]+\$\$?", r"(?s)\\begin\{equation\}.*?\\end\{equation\}", r"(?s)\\begin\{align\}.*?\\end\{align\}", r"[A-Za-z]+\s*=\s*[^=]+[+\-*/][^=]+"]
     found = F.concat(*[F.regexp_extract_all(t, F.lit(p), F.lit(0)) for p in patterns])
     return F.slice(F.array_distinct(F.transform(found, lambda x: F.trim(x))), 1, most)
 
@@ -89,6 +90,7 @@ def citations(text: Column, most: int = 30) -> Column:
         doi.alias("doi"), title.alias("title"), (authors if authors is not None else F.array().cast("array<string>")).alias("authors"),
         (year if year is not None else F.lit(None)).cast("int").alias("year"), none.alias("url"), cited.alias("citation_text"),
     )
+    # Patterns of DOIs, bracketed citations, years and titles.
     dois = F.transform(F.regexp_extract_all(t, F.lit(r"(?i)(?:doi:|https?://doi\.org/)([0-9.]+/[-._;()/:\w]+)"), F.lit(1)), lambda x: row(doi=x))
     bracket = r"\[([A-Z][a-z]+(?:\s+et\s+al\.)?),?\s+([0-9]{4})\]"
     named = F.transform(F.regexp_extract_all(t, F.lit(bracket), F.lit(0)), lambda x: row(authors=F.array(F.regexp_extract(x, bracket, 1)), year=F.regexp_extract(x, bracket, 2), cited=x))
@@ -129,6 +131,7 @@ def title_phrases(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"\b(?:[A-Z][a-z]+\s+){1,3}[A-Z][a-z]+\b"), F.lit(0))
 
 
+# What entities look like and how sure they are.
 _ENTITIES = [
     ("PERSON", re.compile(r"\b([A-Z][a-z]+ (?:[A-Z]\. )?[A-Z][a-z]+)\b"), 0.7),
     ("ORG", re.compile(r"\b([\w\s]+(?:Inc|Corp|Corporation|LLC|Ltd|GmbH|AG|SA|Co|Company|Foundation|Institute|University)\.?)\b"), 0.8),

@@ -9,15 +9,16 @@ from html.parser import HTMLParser
 # Void elements, furniture by tag, class, id and attribute, where main content is, blocks of text, wordings without value.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 DROP_TAGS = {"nav", "aside", "footer", "header", "form", "iframe", "script", "style", "noscript", "svg", "canvas"}
-DROP_CLASSES = set(
-    "nav navigation menu sidebar footer header cookie cookies cookie-banner gdpr comments comment-section related related-posts related-articles social social-share share-buttons"
-    " ads advertisement ad-container sponsor popup modal overlay newsletter pagination pager page-numbers".split()
-)
+DROP_CLASSES = {
+    "nav", "navigation", "menu", "sidebar", "footer", "header", "cookie", "cookies", "cookie-banner", "gdpr", "comments", "comment-section", "related",
+    "related-posts", "related-articles", "social", "social-share", "share-buttons", "ads", "advertisement", "ad-container", "sponsor", "popup", "modal",
+    "overlay", "newsletter", "pagination", "pager", "page-numbers",
+}
 DROP_IDS = {"comments", "disqus_thread"}
 DROP_PARTS = ("cookie", "banner")
 BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "blockquote"}
 LOW_VALUE = re.compile(
-    r"\s*(?:read more|share this|comments?|related (?:posts?|articles?)|advertisement|sponsored|tags?:|categor(?:y|ies):|categories?:|filed under|posted (?:in|on)|previous|next|page \d+|\d+ (?:comments?|replies))\s*",
+    r"\s*(?:read more|share this|comments?|related (?:posts?|articles?)|advertisement|sponsored|tags?:|categories?:|filed under|posted (?:in|on)|previous|next|page \d+|\d+ (?:comments?|replies))\s*",
     re.IGNORECASE,
 )
 META = {

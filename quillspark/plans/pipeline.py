@@ -26,17 +26,17 @@ def to_chunks(documents: DataFrame, at: datetime | Column, options: chunking.Chu
     """Chunks of documents ``url, text`` with identity, quality and hash columns.
 
     ``enrich='full'`` adds topics, entities, personal data, licence and the like. ``at`` is the time of
-    the crawl, given so that runs can be repeated.
+    the crawl, given so that runs can be repeated. What a chunk needs of its document goes through the
+    chunker beside the key, so repeated URLs and rows each have their own chunks and nothing is joined.
     """
     now = at if isinstance(at, Column) else F.lit(at).cast("timestamp_ntz")
     named = documents.withColumn("_title", F.col(title) if title else F.lit(""))
     prepared = named.withColumn("text", cleaning.strip_frontmatter(F.col("text"))).withColumn("doc_id", urls.doc_id(F.col("url"), 16)).withColumn("doc_sha1", hashing.doc_sha1(F.col("text")))
-    kept = prepared.select("doc_id", "url", "doc_sha1", F.col("text").alias("_whole"))
-    cut = chunking.structure_chunks(prepared, "doc_id", "text", "_title", options)
-    rows = cut.withColumnRenamed("doc_id", "_id").join(kept, F.col("_id") == F.col("doc_id")).drop("_id")
+    keyed = prepared.select(F.struct("doc_id", "url", "doc_sha1", urls.source_type(F.col("url"), F.col("text")).alias("source_type")).alias("_key"), "text", "_title")
+    rows = chunking.structure_chunks(keyed, "_key", "text", "_title", options).select("_key.*", "*").drop("_key")
     features = signals.content_features(F.col("text"))
     parts = urls.url_components(F.col("url"))
-    rows = rows.withColumn("_f", features).withColumn("_u", parts).withColumn("source_type", urls.source_type(F.col("url"), F.col("_whole")))
+    rows = rows.withColumn("_f", features).withColumn("_u", parts)
     rows = rows.select(
         hashing.chunk_id(F.col("doc_id"), F.col("chunk_index"), F.col("text")).alias("id"), "doc_id", F.col("url").alias("source_url"), F.col("_u.canonical_url").alias("canonical_url"),
         F.col("_u.domain").alias("domain"), F.col("_u.path").alias("path"), "source_type", signals.modality(F.col("text"), F.col("_f.has_table"), F.col("_f.has_code")).alias("modality"),

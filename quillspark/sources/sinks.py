@@ -41,4 +41,5 @@ def output_file(category: Column, subcategory: Column, source: Column) -> Column
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    summary.coalesce(1).write.mode("overwrite").json(path)  # a row for each category and document
+    """A row for each category and document, in as many files as there are tasks."""
+    summary.write.mode("overwrite").json(path)

@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL = 1_000_000
-
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """The table ``name`` (one parquet file or a folder of them) of ``directory``.
 
-    A table of fewer files than there are cores, which may hold a single row group each, is dealt out
-    to all cores; one of many files is read as it lies, without a shuffle.
+    Files are read as they lie: how finely they are split is the reader's setting
+    (``spark.sql.files.maxPartitionBytes``) and the files' row groups, and costs no shuffle.
     """
-    rows = spark.read.parquet(f"{directory}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(rows._jdf.queryExecution().analyzed().stats().sizeInBytes()))
-    return rows.repartition(cores) if size > SMALL and len(rows.inputFiles()) < cores else rows
+    return spark.read.parquet(f"{directory}/{name}.parquet")
