@@ -20,7 +20,7 @@ def p1_cleaned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_sequences(spark: SparkSession, folder: str) -> DataFrame:
-    return repeated_lines.frequent_sequences(table(spark, folder, "chunks"))[0]
+    return repeated_lines.frequent_sequences(table(spark, folder, "chunks"))
 
 
 def _personal(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,12 +156,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # White space of any script, as both dialects' classes differ.
 _SPACE = r"[\s\x{000B}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
-_SQL = {
-    "p1_found": rf"""WITH l AS (SELECT id, doc_id, domain, unnest(range(0, len(ls))) AS line_no, ls FROM (SELECT id, doc_id, domain, string_split(text, chr(10)) AS ls FROM chunks
+_LINES = rf"""WITH l AS (SELECT id, doc_id, domain, unnest(range(0, len(ls))) AS line_no, ls FROM (SELECT id, doc_id, domain, string_split(text, chr(10)) AS ls FROM chunks
   WHERE id IS NOT NULL AND doc_id IS NOT NULL AND domain IS NOT NULL AND text IS NOT NULL AND ocr_confidence IS NULL)),
 n AS (SELECT id, doc_id, domain, line_no::INT AS line_no, trim(regexp_replace(regexp_replace(lower(ls[line_no + 1]), '{_SPACE}', ' ', 'g'), '\p{{Nd}}+', '0', 'g')) AS item FROM l WHERE regexp_matches(ls[line_no + 1], '\p{{L}}')),
-f AS (SELECT domain, item FROM n GROUP BY domain, item HAVING count(DISTINCT doc_id) >= 6)
-SELECT DISTINCT id, line_no FROM n JOIN f USING (domain, item)""",
+f AS (SELECT domain, item FROM n GROUP BY domain, item HAVING count(DISTINCT doc_id) >= 6), r AS (SELECT DISTINCT id, line_no FROM n JOIN f USING (domain, item))"""
+_SQL = {
+    "p1_found": f"{_LINES} SELECT id, line_no FROM r",
+    "p1_cleaned": f"""{_LINES}, g AS (SELECT id, list(line_no) AS gone FROM r GROUP BY id), c AS (SELECT id, max(text) AS text FROM chunks WHERE id IS NOT NULL GROUP BY id),
+x AS (SELECT id, text, coalesce(gone, []) AS gone, string_split(text, chr(10)) AS ls FROM c LEFT JOIN g USING (id))
+SELECT id, CASE WHEN text IS NOT NULL THEN array_to_string(list_transform(list_filter(range(0, len(ls)), lambda i: NOT list_contains(gone, i)), lambda i: ls[i + 1]), chr(10)) END AS text FROM x""",
+    "p1_sequences": f"""{_LINES}, d AS (SELECT DISTINCT id, doc_id, domain, line_no, item FROM n JOIN f USING (domain, item)),
+s AS (SELECT doc_id, domain, list(item ORDER BY line_no) AS s FROM d GROUP BY id, doc_id, domain), i AS (SELECT doc_id, domain, s, unnest(range(1, len(s) + 1)) AS a FROM s),
+j AS (SELECT doc_id, domain, s, a, unnest(range(a, len(s) + 1)) AS b FROM i)
+SELECT domain, s[a:b] AS lines, (b - a + 1)::INT AS length, count(DISTINCT doc_id) AS n_documents FROM j GROUP BY ALL HAVING count(DISTINCT doc_id) >= 6""",
     "p10_found": """WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, i::BIGINT, 240)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 238)) AS i FROM documents WHERE length(text) >= 240)),
 s AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1), k AS (SELECT doc_id, h FROM w JOIN s USING (h))
 SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM k a JOIN k b ON a.h = b.h AND a.doc_id < b.doc_id""",

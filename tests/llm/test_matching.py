@@ -26,8 +26,7 @@ def test_repeated_lines_equal_brute_force(spark):
     for _, d, g, _, x in seen:
         docs.setdefault((g, x), set()).add(d)
     expected = {(i, n) for i, _, g, n, x in seen if len(docs[g, x]) >= 6}
-    for longest in (1, 3):
-        assert {(r.id, r.line_no) for r in repeated_lines.repeated_lines(frame, longest=longest).collect()} == expected
+    assert {(r.id, r.line_no) for r in repeated_lines.repeated_lines(frame).collect()} == expected
     cleaned = {r.id: r.text for r in repeated_lines.without_repeated_lines(frame).collect()}
     for i, _, _, t, o, *_ in rows:
         if i and t is not None:
@@ -37,8 +36,16 @@ def test_repeated_lines_equal_brute_force(spark):
 
 def test_sequences_need_support_too(spark):
     rows = [(f"c{i}", f"d{i}", "a", "x line\nown\ny line" if i < 6 else "y line\nx line", None, "", "") for i in range(12)]
-    patterns, _ = repeated_lines.frequent_sequences(spark.createDataFrame(rows, SCHEMA))
-    assert sorted((r.length, r.n_documents) for r in patterns.collect()) == [(1, 6), (1, 12), (1, 12), (2, 6), (2, 6), (2, 6), (3, 6)]
+    patterns = repeated_lines.frequent_sequences(spark.createDataFrame([*rows, rows[0]], SCHEMA))
+    got = sorted((list(r.lines), r.n_documents) for r in patterns.collect())
+    assert got == [(["own"], 6), (["own", "y line"], 6), (["x line"], 12), (["x line", "own"], 6), (["x line", "own", "y line"], 6), (["y line"], 12), (["y line", "x line"], 6)]
+
+
+def test_sequences_of_any_length_are_found(spark):
+    rows = [(f"c{i}", f"d{i % 7}", "a", "\n".join(f"line {chr(97 + n)}" for n in range(12)) + f"\nown {chr(97 + i)}", None, "", "") for i in range(14)]
+    patterns = repeated_lines.frequent_sequences(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(patterns) == 12 * 13 // 2 and max(r.length for r in patterns) == 12
+    assert repeated_lines.frequent_sequences(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
 def brute_pairs(ids, x, k, least):
