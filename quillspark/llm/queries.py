@@ -105,18 +105,30 @@ def p9_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill(_packed(spark, folder), _kinds(spark, folder))
 
 
-def _neighbours(spark: SparkSession, folder: str, least: float, **cells: int | None) -> DataFrame:
-    records = table(spark, folder, "chunk_vectors").where(F.col("embedding_model") == "vec-small-2")
-    return similar_vectors.nearest(records, dim=128, k=5, least=least, **cells)
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "chunk_vectors").where(F.col("embedding_model") == "vec-small-2")
+
+
+def _links(spark: SparkSession, folder: str) -> DataFrame:
+    # neighbours of any similarity: few large cells, as unlike ones seldom share a small cell
+    return similar_vectors.nearest(_records(spark, folder), dim=128, k=5, coarser=20, overlap=None, block=32_768)
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return similar_vectors.similar_pairs(_neighbours(spark, folder, 0.75), 0.75)
+    records = _records(spark, folder)
+    return similar_vectors.similar_pairs(similar_vectors.nearest(records, dim=128, k=5, least=0.75), similar_vectors.members(records), 0.75)
 
 
 def p3_nearest(spark: SparkSession, folder: str) -> DataFrame:
-    # neighbours of any similarity: few large cells, as unlike ones seldom share a small cell
-    return _neighbours(spark, folder, -1.0, coarser=20, overlap=None, block=32_768)
+    return similar_vectors.named_links(_links(spark, folder), similar_vectors.members(_records(spark, folder)))
+
+
+def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_vectors.class_links(_links(spark, folder), similar_vectors.members(_records(spark, folder)))
+
+
+def p3_members(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_vectors.class_members(similar_vectors.members(_records(spark, folder)))
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,6 +148,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_redacted": p2_redacted,
         "p3_found": p3_found,
         "p3_nearest": p3_nearest,
+        "p3_classes": p3_classes,
+        "p3_members": p3_members,
         "p4_found": p4_found,
         "p4_body": p4_body,
         "p5_found": p5_found,
@@ -160,6 +174,8 @@ _LINES = rf"""WITH l AS (SELECT id, doc_id, domain, unnest(range(0, len(ls))) AS
   WHERE id IS NOT NULL AND doc_id IS NOT NULL AND domain IS NOT NULL AND text IS NOT NULL AND ocr_confidence IS NULL)),
 n AS (SELECT id, doc_id, domain, line_no::INT AS line_no, trim(regexp_replace(regexp_replace(lower(ls[line_no + 1]), '{_SPACE}', ' ', 'g'), '\p{{Nd}}+', '0', 'g')) AS item FROM l WHERE regexp_matches(ls[line_no + 1], '\p{{L}}')),
 f AS (SELECT domain, item FROM n GROUP BY domain, item HAVING count(DISTINCT doc_id) >= 6), r AS (SELECT DISTINCT id, line_no FROM n JOIN f USING (domain, item))"""
+_VECTORS = """WITH r AS (SELECT DISTINCT id, list_transform(embedding::FLOAT[], lambda x: x + 0) AS v FROM chunk_vectors
+  WHERE id IS NOT NULL AND embedding_model = 'vec-small-2' AND len(embedding) = 128 AND list_sum(list_transform(embedding, lambda x: x::DOUBLE * x)) > 0 AND isfinite(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x))))"""
 _SQL = {
     "p1_found": f"{_LINES} SELECT id, line_no FROM r",
     "p1_cleaned": f"""{_LINES}, g AS (SELECT id, list(line_no) AS gone FROM r GROUP BY id), c AS (SELECT id, max(text) AS text FROM chunks WHERE id IS NOT NULL GROUP BY id),
@@ -169,6 +185,8 @@ SELECT id, CASE WHEN text IS NOT NULL THEN array_to_string(list_transform(list_f
 s AS (SELECT doc_id, domain, list(item ORDER BY line_no) AS s FROM d GROUP BY id, doc_id, domain), i AS (SELECT doc_id, domain, s, unnest(range(1, len(s) + 1)) AS a FROM s),
 j AS (SELECT doc_id, domain, s, a, unnest(range(a, len(s) + 1)) AS b FROM i)
 SELECT domain, s[a:b] AS lines, (b - a + 1)::INT AS length, count(DISTINCT doc_id) AS n_documents FROM j GROUP BY ALL HAVING count(DISTINCT doc_id) >= 6""",
+    # equal vectors have equal lists of numbers; all-zero and broken ones have no class
+    "p3_members": f"""{_VECTORS} SELECT DISTINCT id, first_value(id) OVER (PARTITION BY v ORDER BY id) AS class_id FROM r""",
     "p10_found": """WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, i::BIGINT, 240)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 238)) AS i FROM documents WHERE length(text) >= 240)),
 s AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1), k AS (SELECT doc_id, h FROM w JOIN s USING (h))
 SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM k a JOIN k b ON a.h = b.h AND a.doc_id < b.doc_id""",

@@ -71,7 +71,7 @@ def test_nearest_vectors_recall(spark):
     frame = spark.createDataFrame(rows, "id string, embedding array<float>, cell string")
     truth = brute_pairs(ids, x.astype(np.float32).astype(float), 5, 0.75)
     for block in (16_384, 40):
-        got = {(r.id_a, r.id_b) for r in similar_vectors.similar_pairs(similar_vectors.nearest(frame, dim=32, least=0.75, block=block), 0.75).collect()}
+        got = {(r.id_a, r.id_b) for r in similar_vectors.similar_pairs(similar_vectors.nearest(frame, dim=32, least=0.75, block=block), similar_vectors.members(frame, dim=32), 0.75).collect()}
         assert len(got & truth) >= 0.95 * len(truth) and len(got - truth) <= 0.02 * len(truth)
     assert similar_vectors.nearest(frame.limit(0), dim=32).count() == 0
 
@@ -90,6 +90,25 @@ def test_all_five_nearest_are_found_without_a_least_similarity(spark, tmp_path):
     assert len(got & truth) >= 0.9 * len(truth)
 
 
+def test_equal_vectors_are_one_class_with_all_links(spark):
+    rows = [(f"v{i:03}", [1.0, 2.0, 0.5, -1.0]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "id string, embedding array<float>").repartition(7)
+    links, records = similar_vectors.nearest(frame, dim=4), similar_vectors.members(frame, dim=4)
+    assert [tuple(r) for r in similar_vectors.class_links(links, records).collect()] == [("v000", 400, 159_600)]
+    assert similar_vectors.similar_pairs(links, records, 0.75).count() == 79_800
+    assert {r.class_id for r in similar_vectors.class_members(records).collect()} == {"v000"}
+
+
+def test_copies_count_among_the_nearest(spark):
+    x = np.random.default_rng(3).standard_normal((300, 16)).astype(np.float32)
+    for n in (4, 9):  # with 4 copies two others are still among the five nearest, with 9 none
+        rows = [(f"v{i}", v.tolist()) for i, v in enumerate(x)] + [(f"c{i}", x[0].tolist()) for i in range(n - 1)] + [("v1", x[1].tolist())]
+        frame = spark.createDataFrame(rows, "id string, embedding array<float>")
+        ids, vectors = [r[0] for r in rows[:-1]], np.array([r[1] for r in rows[:-1]], np.float32).astype(float)
+        got = {(r.id_a, r.id_b) for r in similar_vectors.similar_pairs(similar_vectors.nearest(frame, dim=16, cells=1), similar_vectors.members(frame, dim=16), -1).collect()}
+        assert got == brute_pairs(ids, vectors, 5, -1)
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(5)
     x = rng.standard_normal((300, 64))
