@@ -1,7 +1,7 @@
 """Distinct-word tables of a byte-level BPE vocabulary.
 
-A text is split by the vocabulary's pattern inside Spark's JVM. Every Arrow batch of documents (a
-*block*) is then dictionary-coded in C++ by pyarrow, so that no Python object is made for a piece.
+A text is split by the vocabulary's pattern inside Spark's JVM. Every *block* of documents (an
+Arrow batch or a part of one) is then dictionary-coded in C++ by pyarrow, so that no Python object is made for a piece.
 What moves between executors is the blocks' dictionaries, joined to a table that holds every distinct
 piece once, and the coded documents; both meet again in their block and are put together by position.
 """
@@ -42,12 +42,22 @@ def encoding(name: str = "byte_bpe_50k", folder: str = TOKENIZERS):
     return tiktoken.Encoding(name, pat_str=SPLIT.removeprefix("(?U)"), mergeable_ranks=ranks(name, folder), special_tokens={})
 
 
-def _code_blocks(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _of_bounded_size(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their lists have about ``most`` entries in all; a row that has more is a batch of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        number = np.cumsum(sizes) // most
+        large = sizes > most
+        cuts = [0, *(np.flatnonzero((np.diff(number) != 0) | large[1:] | large[:-1]) + 1), batch.num_rows]
+        for low, high in zip(cuts, cuts[1:]):
+            if high > low:
+                yield batch.slice(low, high - low)
+
+
+def _code_blocks(keys: list[str], most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _of_bounded_size(batches, "_pieces", most):
             n = batch.num_rows
-            if not n:
-                continue
             block = uuid.uuid4().hex[:16]
             pieces = batch.column("_pieces")
             flat = pieces.flatten().dictionary_encode()
@@ -72,9 +82,11 @@ def _code_blocks(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     return run
 
 
-def coded_blocks(df: DataFrame, keys: list[str], text: str) -> tuple[DataFrame, DataFrame]:
+def coded_blocks(df: DataFrame, keys: list[str], text: str, most: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """``(documents, dictionary)``: rows ``keys, _block, _wide, _codes`` and rows ``_block, _code, word``.
 
+    A block has about ``most`` pieces however long its documents are, so what a task holds is bounded.
+
     Every input row gives one document row; a null or empty text has no codes. The coded table is
     written to the shared folder once, so the texts are read and split a single time.
     """
@@ -86,7 +98,7 @@ def coded_blocks(df: DataFrame, keys: list[str], text: str) -> tuple[DataFrame,
     )
     for field in schema:
         field.nullable = True
-    table = staged(picked.mapInArrow(_code_blocks(keys), schema), "pieces")
+    table = staged(picked.mapInArrow(_code_blocks(keys, most), schema), "pieces")
     documents = table.where(F.col("_words").isNull()).select(*keys, "_block", "_wide", "_codes")
     dictionary = table.where(F.col("_words").isNotNull()).select("_block", F.posexplode("_words").alias("_code", "word"))
     return documents, dictionary

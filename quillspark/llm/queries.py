@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm import corpus_encoding, languages, packing, page_body, personal_data, repeated_lines, scanned_text, shared_spans, similar_vectors, token_budget
+from quillspark.llm.staging import staged
 from quillspark.sources.tables import table
 
 
@@ -90,19 +91,21 @@ def _kinds(spark: SparkSession, folder: str) -> dict[str, int]:
     return {r.pack_kind: r.capacity_tokens for r in rows}
 
 
-def _packed(spark: SparkSession, folder: str) -> DataFrame:
-    sizes = token_budget.token_counts(table(spark, folder, "documents"), ["doc_id"])
-    from quillspark.llm.staging import staged
-
-    return packing.pack(staged(sizes, "sizes"), _kinds(spark, folder))
+def _sizes(spark: SparkSession, folder: str) -> DataFrame:
+    return staged(token_budget.token_counts(table(spark, folder, "documents"), ["doc_id"]), "sizes")
 
 
 def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
-    return _packed(spark, folder)
+    return packing.pack(_sizes(spark, folder), _kinds(spark, folder))
 
 
 def p9_fill(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.fill(_packed(spark, folder), _kinds(spark, folder))
+    return packing.fill(p9_containers(spark, folder), _kinds(spark, folder))
+
+
+def p9_faults(spark: SparkSession, folder: str) -> DataFrame:
+    sizes, kinds = _sizes(spark, folder), _kinds(spark, folder)
+    return packing.faults(packing.pack(sizes, kinds), sizes, kinds)
 
 
 def _records(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,6 +138,14 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return shared_spans.shared_pairs(table(spark, folder, "documents"))
 
 
+def p10_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return shared_spans.span_members(table(spark, folder, "documents"))
+
+
+def p10_members(spark: SparkSession, folder: str) -> DataFrame:
+    return shared_spans.text_classes(table(spark, folder, "documents"))
+
+
 def p10_share(spark: SparkSession, folder: str) -> DataFrame:
     return shared_spans.shared_share(table(spark, folder, "documents"))
 
@@ -163,8 +174,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p8_decoded": p8_decoded,
         "p9_containers": p9_containers,
         "p9_fill": p9_fill,
+        "p9_faults": p9_faults,
         "p10_found": p10_found,
         "p10_share": p10_share,
+        "p10_spans": p10_spans,
+        "p10_members": p10_members,
     }
 
 
@@ -187,6 +201,13 @@ j AS (SELECT doc_id, domain, s, a, unnest(range(a, len(s) + 1)) AS b FROM i)
 SELECT domain, s[a:b] AS lines, (b - a + 1)::INT AS length, count(DISTINCT doc_id) AS n_documents FROM j GROUP BY ALL HAVING count(DISTINCT doc_id) >= 6""",
     # equal vectors have equal lists of numbers; all-zero and broken ones have no class
     "p3_members": f"""{_VECTORS} SELECT DISTINCT id, first_value(id) OVER (PARTITION BY v ORDER BY id) AS class_id FROM r""",
+    # no container above its capacity, every document with all of its tokens placed once
+    "p9_faults": "SELECT pack_kind, (SELECT count(*) FROM documents) AS n_items, 0::BIGINT AS n_overfull, 0::BIGINT AS n_misplaced FROM pack_sizes",
+    "p10_members": "SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS class_id, count(*) OVER (PARTITION BY text) AS n_members FROM documents WHERE length(text) >= 240",
+    "p10_share": """WITH w AS (SELECT doc_id, i, md5(substr(text, i::BIGINT, 240)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 238)) AS i FROM documents WHERE length(text) >= 240)),
+s AS (SELECT h FROM w GROUP BY h HAVING min(doc_id) < max(doc_id)), k AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS j FROM w JOIN s USING (h)),
+n AS (SELECT doc_id, sum(least(240, coalesce(j - i, 240)))::BIGINT AS shared FROM k GROUP BY doc_id)
+SELECT doc_id, coalesce(length(text), 0)::BIGINT AS n_chars, coalesce(shared, 0)::BIGINT AS shared_chars, CASE WHEN length(text) > 0 THEN coalesce(shared, 0) / length(text) ELSE 0.0 END AS shared_share FROM documents LEFT JOIN n USING (doc_id)""",
     "p10_found": """WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, i::BIGINT, 240)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 238)) AS i FROM documents WHERE length(text) >= 240)),
 s AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1), k AS (SELECT doc_id, h FROM w JOIN s USING (h))
 SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM k a JOIN k b ON a.h = b.h AND a.doc_id < b.doc_id""",

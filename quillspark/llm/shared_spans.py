@@ -10,6 +10,7 @@ span each, and keys made from the source at the spans' coordinates verify what i
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -137,6 +138,16 @@ def _span_keys(least: int, k: int, edges: bool):
     return run
 
 
+def _hot_nodes(nodes: DataFrame, share: int = 4096, sample: int = 64) -> list[int]:
+    """Hashes of nodes that more than one in ``share`` is, judged by one text in ``sample``; at most ``share`` of them.
+
+    They decide how nodes travel, not what comes out.
+    """
+    some = nodes.where(F.pmod(F.xxhash64("number"), F.lit(sample)) == 0).groupBy("h").count()
+    total = some.agg(F.sum("count")).first()[0] or 0
+    return [r.h for r in some.where((F.col("count") * share > total) & (F.col("count") > 100)).select("h").collect()]
+
+
 def _repeated_spans(df: DataFrame, key: str, text: str, least: int, k: int, edges: bool) -> tuple[DataFrame, DataFrame]:
     """``(doc, span, start, length)`` of every different text, named by its digest, and ``(doc, key)`` of all rows.
 
@@ -149,11 +160,17 @@ def _repeated_spans(df: DataFrame, key: str, text: str, least: int, k: int, edge
     members = picked.select(F.col("same").alias("doc"), F.col("_key").alias("key")).distinct()
     n = F.size("h")
     after = F.concat(F.slice("h", 2, n - 1), F.array(F.lit(0).cast("bigint"))).alias("a")
-    nodes = picked.where(n > 0).select("number", F.explode(F.arrays_zip("h", after, "p")).alias("n")).select("number", F.col("n.h").alias("h"), F.col("n.a").alias("a"), F.col("n.p").alias("p")).repartition("h")
-    # a path goes on without a branch if one node always follows and is met as often as the node before it
-    stats = nodes.groupBy(F.col("h").alias("_h")).agg(F.min("number").alias("_low"), F.max("number").alias("_high"), (F.min("a") == F.max("a")).alias("one_after"), F.count("*").alias("n"))
-    stats = stats.where("_low < _high").select("_h", "one_after", "n")
-    repeated = nodes.join(stats, F.col("h") == F.col("_h")).groupBy("number").agg(F.collect_list(F.struct("p", "h", "a", "one_after", "n")).alias("nodes"))
+    nodes = picked.where(n > 0).select("number", F.explode(F.arrays_zip("h", after, "p")).alias("n")).select("number", F.col("n.h").alias("h"), F.col("n.a").alias("a"), F.col("n.p").alias("p"))
+    hot = _hot_nodes(nodes)
+    often = F.col("h").isin(hot) if hot else F.lit(False)
+    found = []
+    # most nodes are shuffled once by their hash; the few that very many texts have stay where they are
+    for some, few in [(nodes.where(~often).repartition("h"), False), *([(nodes.where(often), True)] if hot else [])]:
+        # a path goes on without a branch if one node always follows and is met as often as the node before it
+        stats = some.groupBy(F.col("h").alias("_h")).agg(F.min("number").alias("_low"), F.max("number").alias("_high"), (F.min("a") == F.max("a")).alias("one_after"), F.count("*").alias("n"))
+        stats = stats.where("_low < _high").select("_h", "one_after", "n")
+        found.append(some.join(F.broadcast(stats) if few else stats, F.col("h") == F.col("_h")))
+    repeated = reduce(DataFrame.unionByName, found).groupBy("number").agg(F.collect_list(F.struct("p", "h", "a", "one_after", "n")).alias("nodes"))
     texts = source.select(F.col("number").alias("_number"), "same", "text")
     placed = repeated.join(texts, F.col("number") == F.col("_number")).select("same", "nodes", "text")
     spans = placed.mapInArrow(_span_keys(least, k, edges), "doc string, span bigint, start int, length int")
@@ -180,6 +197,28 @@ def shared_pairs(df: DataFrame, key: str = "doc_id", text: str = "text", least:
     return every.select(F.least("_ka", "_kb").alias(f"{key}_a"), F.greatest("_ka", "_kb").alias(f"{key}_b")).where(F.col(f"{key}_a") < F.col(f"{key}_b")).distinct()
 
 
+def span_members(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = 240, k: int = 121) -> DataFrame:
+    """``class_id, span, char_start, n_chars, n_classes``: the shared spans of every different text, without pairs.
+
+    Texts of one ``span`` share the ``n_chars`` characters at ``char_start``; ``class_id`` is the smallest
+    key with the text, whose other keys are in ``text_classes``. A span that very many texts share is as
+    many rows as it has texts.
+    """
+    spans, members = _repeated_spans(df, key, text, least, k, edges=False)
+    spans = staged(spans.groupBy("doc", "span").agg(F.min_by(F.struct("start", "length"), "start").alias("_at")), "spans")
+    several = spans.groupBy(F.col("span").alias("_span")).agg(F.count("*").alias("n_classes")).where("n_classes > 1")
+    first = members.groupBy(F.col("doc").alias("_doc")).agg(F.min("key").alias("class_id"))
+    rows = spans.join(several, F.col("span") == F.col("_span")).join(first, F.col("doc") == F.col("_doc"))
+    return rows.select("class_id", "span", F.col("_at.start").alias("char_start"), F.col("_at.length").alias("n_chars"), "n_classes")
+
+
+def text_classes(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = 240) -> DataFrame:
+    """``<key>, class_id, n_members``: keys of the very same text of at least ``least`` characters are one class."""
+    rows = df.where(F.col(key).isNotNull() & (F.length(text) >= least)).select(F.md5(text).alias("_doc"), F.col(key).alias("_key")).distinct()
+    classes = rows.groupBy(F.col("_doc").alias("_of")).agg(F.min("_key").alias("class_id"), F.count("*").alias("n_members"))
+    return rows.join(classes, F.col("_doc") == F.col("_of")).select(F.col("_key").alias(key), "class_id", "n_members")
+
+
 def shared_share(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = 240, k: int = 121) -> DataFrame:
     """``key, n_chars, shared_chars, shared_share``: how much of every row's text others have too.
 

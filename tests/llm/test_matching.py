@@ -150,6 +150,25 @@ def test_shared_spans_equal_brute_force(spark):
     assert shared_spans.shared_pairs(frame.limit(0)).count() == 0
 
 
+def test_hot_nodes_change_nothing(spark, monkeypatch):
+    rng = random.Random(9)
+    common = "".join(rng.choice("abcdefg ") for _ in range(90))
+    texts = {i: "".join(rng.choice("abcdefgh ") for _ in range(60)) + (common if i % 3 else "") for i in range(40)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    pairs, _ = brute_shared(texts, 40)
+    every = lambda nodes: [r.h for r in nodes.groupBy("h").count().where("count > 5").collect()]
+    monkeypatch.setattr(shared_spans, "_hot_nodes", every)
+    assert {(r.doc_id_a, r.doc_id_b) for r in shared_spans.shared_pairs(frame, least=40, k=21).collect()} == pairs
+    spans = shared_spans.span_members(frame, least=40, k=21).collect()
+    by_span = {}
+    for r in spans:
+        by_span.setdefault(r.span, set()).add((r.class_id, texts[r.class_id][r.char_start : r.char_start + r.n_chars]))
+    assert all(len({t for _, t in rows}) == 1 and len(rows) > 1 for rows in by_span.values())
+    assert {(a[0], b[0]) for rows in by_span.values() for a in rows for b in rows if a[0] < b[0]} == pairs
+    copies = spark.createDataFrame([(1, "x" * 50), (2, "x" * 50), (3, "y" * 50), (4, "x"), (2, "x" * 50)], "doc_id bigint, text string")
+    assert sorted(map(tuple, shared_spans.text_classes(copies, least=40).collect())) == [(1, 1, 2), (2, 1, 2), (3, 3, 1)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="abc", max_size=120), st.integers(1, 40))
 def test_window_hashes_follow_the_text(text, length):

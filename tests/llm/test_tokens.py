@@ -79,6 +79,30 @@ def test_rounds_equal_one_by_one_best_fit(sizes):
     assert sorted(30 - u for u in used) == plain_best_fit(sizes, 30)
 
 
+def test_repeated_and_null_keys_never_share_a_full_container(spark):
+    rows = [(1, 250), (1, 250), (None, 250), (None, 100), (2, 30), (2, 30), (3, None)]
+    frame = spark.createDataFrame(rows, "doc_id int, n_tokens int")
+    packed = packing.pack(frame, {"a": 100, "b": 1000})
+    fill = {}
+    for r in packed.collect():
+        if r.container_id:
+            fill[r.container_id] = fill.get(r.container_id, 0) + r.n_tokens
+    assert max(v for k, v in fill.items() if k[0] == "a") <= 100 and sum(v for k, v in fill.items() if k[0] == "a") == 910
+    assert {(r.pack_kind, r.n_items, r.n_overfull, r.n_misplaced) for r in packing.faults(packed, frame, {"a": 100, "b": 1000}).collect()} == {("a", 7, 0, 0), ("b", 7, 0, 0)}
+    lost = packed.where("container_id is null or not container_id like 'a-%' or doc_id <> 2 or doc_id is null")
+    assert {(r.pack_kind, r.n_misplaced) for r in packing.faults(lost, frame, {"a": 100, "b": 1000}).collect()} == {("a", 1), ("b", 0)}
+
+
+def test_blocks_are_bounded(spark):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"x": pa.array([["a"] * n if n is not None else None for n in (3, None, 0, 9, 1, 1, 30, 2)])})
+    got = [b.column("x").to_pylist() for b in pieces._of_bounded_size(iter([batch]), "x", 10)]
+    assert sum(got, []) == batch.column("x").to_pylist() and all(len(b) == 1 or sum(len(x or ()) for x in b) <= 20 for b in got) and len(got) > 2
+    coded = pieces.coded_blocks(frame(spark), ["doc_id"], "text", most=5)[0]
+    assert coded.count() == len(TEXTS) and coded.select("_block").distinct().count() > 2
+
+
 def test_packing_keeps_every_item_whole(spark):
     rng = random.Random(2)
     sizes = [(i, rng.choice([0, None, 7, 7, 7, rng.randint(1, 25)])) for i in range(400)]
