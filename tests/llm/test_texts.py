@@ -169,6 +169,27 @@ def test_trie_finds_all_candidates():
         assert {w for w, _ in trie.near(read, 2)} == brute_near(words, read, 2)
 
 
+def test_candidates_come_from_all_tries_an_automaton_reaches(spark):
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choice("mrnclhdeiwb") for _ in range(rng.randint(1, 7))) for _ in range(300)})
+    reads = sorted({w.replace("rn", "m").replace("e", "c", 1).replace("d", "cl", 1) for w in words} | {"x" * 5000, "cl", "ri", "1"})
+    found = scanned_text.candidates(spark.createDataFrame([(r,) for r in reads], "word string"), spark.createDataFrame([(w, 1) for w in words], "word string, n bigint")).collect()
+    got = {r.word: {n["word"] for n in r.near} for r in found}
+    assert all(got.get(r, set()) == brute_near(words, r, 2) for r in reads if len(r) < 100)
+
+
+def test_a_long_document_is_judged_as_one(spark):
+    # a header that comes back only after a hundred chunks, and a spelling the document has often
+    clean = "the calibration sheet restores the table and the water sample covers it again."
+    rows = [(f"c{i}", f"d{i}", f"{'ab'[i % 2]}.example", clean, None) for i in range(12)]
+    plain = "The water sample covers\nit again and the table restores it."
+    rows += [(f"s{i}", "long", "a.example", ("Zork Report of Tavo\n" if i in (0, 150) else "") + plain, 0.7) for i in range(200)]
+    frame = spark.createDataFrame(rows, "id string, doc_id string, domain string, text string, ocr_confidence double")
+    for per_block in (400, 7):
+        lines = {(r.id, r.line_no, r.kind) for r in scanned_text.faulty_lines(scanned_text.repaired(frame, per_block=per_block)).collect()}
+        assert lines == {("s0", 0, "header"), ("s150", 0, "header")}
+
+
 def test_readings_between():
     assert scanned_text.readings_between("modern", "rnodern") == 1 and scanned_text.readings_between("limit", "hmit") == 1 and scanned_text.readings_between("same", "same") == 0
     assert scanned_text.readings_between("table", "chair") is None and scanned_text.readings_between("tablet", "tab1e+") == 2
