@@ -1,14 +1,16 @@
 """Personal data in free text: weak labelers vote on candidate spans, a classifier decides.
 
-Candidates come from triggers (signs, first names, forms of address, street words, runs of digits).
-Labelers of three sorts vote on each: patterns, a gazetteer of first names mined from the corpus, and
-the words around. Expectation-maximisation estimates how reliable each labeler is on a bounded sample;
-a logistic classifier trained on the resulting probabilities makes the final decision for every span.
+Candidates come from triggers (signs, capitalised pairs, forms of address, street words, runs of digits).
+Labelers of three sorts vote on each: patterns, gazetteers of first and last words of names counted over
+the whole corpus, and the words around. Expectation-maximisation estimates how reliable each labeler is on
+a bounded sample; a logistic classifier over votes, shapes and hashed context words, trained on the
+resulting probabilities, makes the final decision for every span.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -17,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.llm.staging import staged
+
 KINDS = ("email", "phone", "id_number", "address", "person_name")
 
 # Wordings of the five languages in use.
@@ -25,39 +29,72 @@ STREETS_BEFORE = ["Calle", "Avenida", "Avda.", "Paseo", "Plaza", "Camino", "Rond
 STREETS_FRENCH = ["rue", "avenue", "boulevard", "impasse", "place", "chemin", "quai", "allée", "route", "cours", "passage", "square", "Rue", "Avenue", "Boulevard", "Impasse", "Place", "Chemin", "Quai", "Allée"]
 STREETS_AFTER = ["Street", "St", "Road", "Rd", "Lane", "Ln", "Avenue", "Ave", "Crescent", "Quay", "Terrace", "Drive", "Court", "Close", "Way", "Place", "Square", "Boulevard", "Blvd", "Row", "Walk", "Gardens", "Hill", "Parade", "Mews"]
 STREETS_GERMAN = ["straße", "strasse", "str.", "weg", "gasse", "platz", "allee", "ring", "ufer", "damm", "steig", "pfad", "markt", "Straße", "Weg", "Platz", "Gasse", "Allee"]
-_MINING = (
-    r"(?m)(?:^|\n)(?:By|Por|Von|Par|Written by|Text:|Texto de|Rédigé par|Escrito por|Contact:|Kontakt:|Contacto:|Contato:|Applicant:|Antragsteller:|Demandeur :|Solicitante:|Requerente:) +"
-    r"([A-ZÀ-Þ][a-zß-ÿ]{2,})(?= (?:[A-Z]\. )?(?:(?:de|van|von|zu|da|do|dos|del|la) )?[A-ZÀ-Þ][a-zß-ÿ]+)"
-)
 _MAIL = re.compile(r"[\w.+-]*\w[\w.+-]*(?: ?(?:\(at\)|\[at\]|\(arroba\)) ?| AT |@)[\w-]+(?:(?:\.| ?(?:\(dot\)|\[dot\]|\(punto\)|\(ponto\)) ?| DOT )[\w-]+)+", re.UNICODE)
 _RUN = re.compile(r"(?<![\w@.,/+-])(?:\(?\+|\()?\d[\d ()./–-]{4,}\d(?![\w@])(?:,? (?:ext\.?|x|Durchwahl|Dw\.?|poste|extensión|ramal) ?\d{1,5})?")
 _NUMBERED = re.compile(r"(?<![\w@.-])(?:(?!DNI|NIF|NIE|NSS|ID\b)[A-Z]{1,3}[ -]?)?\d(?:[ ./-]?[\dA-Z]){5,19}(?![\w@])")
-_NAME_TAIL = re.compile(r"(?:\s{1,2}(?:[A-ZÀ-Þ]\.)){0,2}\s{1,2}(?:(?:de la|de|du|van der|van|von|zu|da|do|dos|del|la|DE|DU|VAN|VON|ZU|DA|DO)\s{1,2})?([A-ZÀ-Þ][\wÀ-ÿ']+(?:-[A-ZÀ-Þ][\wÀ-ÿ']+)?)")
-_SURNAME_FIRST = re.compile(r"((?:(?:de|du|van|von|zu|da|do|dos|del) )?[A-ZÀ-Þ][\wÀ-ÿ']+(?:-[A-ZÀ-Þ][\wÀ-ÿ']+)?),\s{1,2}$")
-_INITIAL = re.compile(r"(?<![\w.&-])(?:[A-ZÀ-Þ]\. ?){1,2}(?:(?:de|van|von|zu|da|do|dos|del) )?([A-ZÀ-Þ][a-zß-ÿ']+(?:-[A-ZÀ-Þ][a-zß-ÿ']+)?)")
+_PARTICLE = r"(?:(?:de la|de|du|van der|van|von|zu|da|do|dos|del|la|DE|DU|VAN|VON|ZU|DA|DO)\s{1,2})?"
+_LAST = r"[A-ZÀ-Þ](?:'[A-ZÀ-Þ])?[\wÀ-ÿ]+(?:-[A-ZÀ-Þ][\wÀ-ÿ]+)?"
+# A first name, initials, a particle and a last name; or the last name before a comma and the first.
+_NAME = re.compile(rf"(?<![\w@.+'-])(?=([A-ZÀ-Þ][\wÀ-ÿ-]+(?:\s{{1,2}}(?:[A-ZÀ-Þ]\.)){{0,2}}\s{{1,2}}{_PARTICLE}{_LAST}|{_PARTICLE}{_LAST},\s{{1,2}}[A-ZÀ-Þ][\wÀ-ÿ-]+(?! ?\d))(?![\w@]))")
+_TITLED = re.compile(rf"[A-ZÀ-Þ](?:\.|[\wÀ-ÿ-]+)(?:\s{{1,2}}[A-ZÀ-Þ]\.){{0,2}}(?:\s{{1,2}}{_PARTICLE}{_LAST})?")
+_WORD = re.compile(r"[^\W\d_]+")
+_INITIAL = re.compile(r"(?<![\w.&-])(?:[A-ZÀ-Þ]\. ?){1,2}(?:(?:de|van|von|zu|da|do|dos|del) )?([A-ZÀ-Þ](?:'[A-ZÀ-Þ])?[a-zß-ÿ]+(?:-[A-ZÀ-Þ][a-zß-ÿ]+)?)")
 # After street and number: a floor or flat, then postcode and town in either order.
 _TOWN = re.compile(r"\.?(?:,? (?:Floor|Apt|Flat|Unit|Suite|piso|andar|étage|Etage|bâtiment) ?\w{1,4})?(?:, (?:\d{4,5}(?:-\d{3})? [A-ZÀ-Þ][\w-]+|[A-ZÀ-Þ][\w-]+(?: \d{5})?))?")
 _FRENCH = re.compile(r"\b(?:le|la|les|de|du|par|rappelle|demande|notes)\s+$", re.IGNORECASE)
-_CALL = re.compile(r"(?:call|phone|tel\.?|tél\.?|telephone|fon|mobile|anrufen|appelez(?: le)?|llame al|llamar al|ligue para|teléfono|telefone|téléphone|\bau|\bal|\bhas|\bhat|\ba le|\btem|\btiene|number is|unter|erreichbar|bitte|\|)[\s:]*$", re.IGNORECASE)
+_CALL = re.compile(r"(?:call|phone(?: on| at)?|tel\.?|tél\.?|telephone|fon|mobile|anrufen|appelez(?: le)?|llame al|llamar al|ligue para|teléfono|telefone|téléphone|\bau|\bal|\bhas|\bhat|\ba le|\btem|\btiene|number is|unter|erreichbar|bitte|\|)[\s:]*$", re.IGNORECASE)
 _CALL_AFTER = re.compile(r"^\s*(?:anrufen|if \w+ stays|si \w+ (?:ne|no)|se a \w+ não|\|)", re.IGNORECASE)
 _ID_WORDS = re.compile(r"(?:national id|passport|social security|security number|\bid=|id card|Ausweisnummer|Ausweis|Personalausweis|Steuer-?ID|Sozialversicherungs\w*|sécurité sociale|numéro de sécu|carte d'identité|\bDNI|\bNIE|\bNIF|\bNSS|seguridad social|contribuinte|cidadão|segurança social|documento)[^|;\n]{0,14}$", re.IGNORECASE)
-_DECOY = re.compile(r"(?:part no\.?|serial|ticket|sensor|pièce|série|vorgang|bauteil|seriennummer|pieza|aviso|peça|número de série|reported|version|build|section|abschnitt|sección|secção|run|model\w*|order|invoice|isbn)\s*[:#]?\s*$|(?:[Ss]ensor|Sonde|Capteur)\b.{0,30}$", re.IGNORECASE)
-_MACHINE = re.compile(r"^\s*(?:pulses|impulsions|Impulse|pulsos|belongs to|gehört|appartient|pertenece|pertence|fits|passt|convient|encaja|serve|tracks|suit|sigue|segue|betrifft)", re.IGNORECASE)
-_PERSON_LEFT = re.compile(r"(?:contact|kontakt|contacto|contato|by|por|von|par|text|texto de|written by|rédigé par|applicant|antragsteller|demandeur|solicitante|requerente|name|parcel for|filed by|notizen von|notas de|notes de|pedido de|demande de|antrag von|solicitud de|dr|mr|ms|mrs|herr|frau|mme|m|sr|sra|dra)\.?\s?[:=]?\s*$", re.IGNORECASE)
-_PERSON_RIGHT = re.compile(r"^(?:'s notes|, staff writer|, (?:wohnhaft|social|Ausweis|numéro|qui habite|residente|que vive|con|com)|,? ?<|;id=| noted| anmerkt| atende| atiende| répond| antwortet| beantwortet| can be| \||, \d|, [A-ZÀ-Þ]\w+)", re.IGNORECASE)
-_THING = re.compile(r"\b(?:Harbor|Station|Bridge|Mount|Hall|Nordbahn|Pont|Puente|Ponte|Norte|Grand|Group|Press|Labs|Journal)\b")
+_ID_WORDS_BEFORE = re.compile(_ID_WORDS.pattern.replace("{0,14}", "*"), re.IGNORECASE)
+# Forms of address and words of bylines, contacts and applications in the five languages.
+_PERSON_LEFT = re.compile(r"(?:(?:^|\n)[^\w\n]*(?:by|por|von|par)\s+|\b(?:written by|rédigé par|escrito por|contact|kontakt|contacto|contato|text|texto de|applicant|antragsteller|demandeur|solicitante|requerente|name|dr|prof|mr|ms|mrs|herrn?|frau|mme|mlle|m|sr|sra|dra|don|doña))\.?\s?[:=]?\s*$", re.IGNORECASE)
+# Articles, after which a capitalised word is no name of a person.
+_ARTICLE = re.compile(r"\b(?:the|a|an|der|die|das|den|dem|des|ein|eine|le|la|les|un|une|el|los|las|una|o|os|as|um|uma)\s+$", re.IGNORECASE)
+_BEGINS_OTHERWISE = re.compile(_ARTICLE.pattern.replace("(?:the", "(?:by|por|von|par|the").removesuffix("$"), re.IGNORECASE)
+
+BUCKETS = 1 << 20
+WEIGHTS = 1 << 15
+_TOKEN = re.compile(r"\w+|[^\w\s]")
+
+
+def _bucket(word: str, size: int) -> int:
+    return zlib.crc32(word.encode()) % size
+
+
+class Gazetteer:
+    """For every word, how much likelier than others it begins (or ends) a name where persons are named.
+
+    A table of fixed size, whatever the corpus: words fall into buckets, of which each has one signed byte.
+    """
+
+    def __init__(self, counts: np.ndarray, seen: np.ndarray):
+        usual = (counts.sum() + 0.5) / (seen.sum() + 1)
+        rate = (counts + 4 * usual) / (seen + 4)
+        odds = np.log(rate / np.maximum(1 - rate, 1e-3)) - np.log(usual / max(1 - usual, 1e-3))
+        self.table = np.clip(np.rint(odds * 16), -127, 127).astype(np.int8)
+
+    def __call__(self, word: str) -> float:
+        return float(self.table[_bucket(word.lower(), BUCKETS)]) / 16
+
+
+def _mail_nearby(span: str, before: str, after: str) -> bool:
+    """Whether a mail address beside a name has its last word."""
+    last = [w.lower() for w in _WORD.findall(span) if len(w) > 3]
+    around = (before + " " + after).lower()
+    return bool(last) and ("@" in around or "(at)" in around or "[at]" in around) and any(re.search(rf"{w}[\w.+-]* ?(?:@|\(at\)|\[at\])", around) for w in (last[0], last[-1]))
 
 
-def labelers(kind: str, first_names: frozenset[str]) -> list[Callable[[str, str, str], int]]:
+def labelers(kind: str, first: Gazetteer, last: Gazetteer) -> list[Callable[[str, str, str], int]]:
     """Functions of a span and the text on its left and right: 1 for, -1 against, 0 silent."""
     digits = lambda s: sum(c.isdigit() for c in s)
+    lean = lambda x: 1 if x > 1 else -1 if x < -1 else 0
     if kind == "email":
         return [
             lambda s, a, b: 1 if re.search(r"(?:\.|DOT|\(dot\)|\[dot\]|\(punto\)|\(ponto\)) ?[A-Za-z]{2,}$", s) else -1,
             lambda s, a, b: -1 if re.search(r"@\d", s) else 1,
             lambda s, a, b: 1 if re.search(r"(?:write to|schreiben an|écrire à|escriba a|escreva para|mail|<|=|contact\w*|adresse|\|)\s*$", a, re.IGNORECASE) else 0,
             lambda s, a, b: -1 if re.search(r"(?:run|aufruf|lancer|ejecutar|executar|import)\s*$", a, re.IGNORECASE) else 0,
-            lambda s, a, b: -1 if re.match(r"\s*(?:with|mit|avec|con|com) @", b) else 0,
+            lambda s, a, b: -1 if re.match(r"\s*\w+ @\w", b) else 0,
             lambda s, a, b: 1 if re.match(r"[\w.+-]{2,}", s) else -1,
         ]
     if kind == "phone":
@@ -68,18 +105,17 @@ def labelers(kind: str, first_names: frozenset[str]) -> list[Callable[[str, str,
             lambda s, a, b: 1 if _CALL.search(a) else 0,
             lambda s, a, b: 1 if _CALL_AFTER.search(b) else 0,
             lambda s, a, b: -1 if _ID_WORDS.search(a) else 0,
-            lambda s, a, b: -1 if _DECOY.search(a) or _MACHINE.search(b) else 0,
-            lambda s, a, b: 1 if 9 <= digits(s) <= 15 else -1,
+            lambda s, a, b: 0 if 9 <= digits(s) <= 15 else -1,
+            lambda s, a, b: 1 if re.search(r"(?:@|\(at\)|\[at\])[^\n]*[^\w\n]$", a) else 0,
             lambda s, a, b: -1 if re.match(r"\d{3}-\d{2}-\d{4}$|\d{1,2}-\d{1,2}-\d{4}$|(\d{4})\1$|\d{4}-\d{2}-\d{2}|\d{5} \d{4} \d{2}$", s) else 0,
         ]
     if kind == "id_number":
         return [
             lambda s, a, b: 1 if _ID_WORDS.search(a) else -1,
+            lambda s, a, b: 1 if _ID_WORDS_BEFORE.search(a) else -1,
             lambda s, a, b: 1 if re.match(r"\d{3}[- ]\d{2}[- ]\d{4}$", s) else 0,
             lambda s, a, b: 1 if re.match(r"[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-Z]$|[XYZL]\d{2}", s) else 0,
-            lambda s, a, b: -1 if _DECOY.search(a) or _MACHINE.search(b) else 0,
             lambda s, a, b: -1 if _CALL.search(a) or _CALL_AFTER.search(b) else 0,
-            lambda s, a, b: 1 if digits(s) >= 7 else 0,
         ]
     if kind == "address":
         return [
@@ -90,27 +126,32 @@ def labelers(kind: str, first_names: frozenset[str]) -> list[Callable[[str, str,
             lambda s, a, b: 1 if re.search(r"[A-ZÀ-Þ]", s) else -1,
         ]
     return [
-        lambda s, a, b: 1 if set(re.findall(r"[\wÀ-ÿ']+", s.title())) & first_names else 0,
-        lambda s, a, b: 1 if _PERSON_LEFT.search(a) else 0,
-        lambda s, a, b: 1 if _PERSON_RIGHT.search(b) else 0,
-        lambda s, a, b: -1 if _THING.search(s) or _THING.match(b.lstrip()) else 0,
-        lambda s, a, b: -1 if re.search(r"\d|@", s) else 1,
-        lambda s, a, b: -1 if re.match(r"[\w.]*@|\.\w", b) or a.endswith(("@", "/")) else 0,
-        lambda s, a, b: 1 if re.search(r"(?:by|ham|well|wick|thorne|mann|stett|feld|inger|berg|eau|val|court|dier|net|ares|ández|illa|ero|uela|inho|ães|ado|eira)(?:$|[-,])", s.split(",")[0], re.IGNORECASE) else 0,
+        lambda s, a, b: lean(first(_ends(s)[0])),
+        lambda s, a, b: lean(last(_ends(s)[1])),
+        lambda s, a, b: 1 if _PERSON_LEFT.search(a) and not s.isupper() else 0,
+        lambda s, a, b: 1 if _mail_nearby(s, a, b) else 0,
+        lambda s, a, b: 1 if re.search(r"\b[A-ZÀ-Þ]\.\s", s) else 0,
+        lambda s, a, b: -1 if _ARTICLE.search(a) or _BEGINS_OTHERWISE.match(s) else 0,
+        lambda s, a, b: -1 if re.search(r"\d|@", s) or re.match(r"[\w.]*@|\.\w", b) or a.endswith(("@", "/")) else 0,
+        lambda s, a, b: -1 if "\n" in s else 0,
+        lambda s, a, b: -1 if s.isupper() and first(_ends(s)[0]) <= 0 else 0,
     ]
 
 
+def _ends(name: str) -> tuple[str, str]:
+    """First and last word of a name, whichever comes first in the text."""
+    words = _WORD.findall(name.split(",")[-1] + " " + name.split(",")[0] if "," in name else name)
+    return (words[0], words[-1]) if words else ("", "")
+
+
 class Finder:
     """Candidate spans of a text."""
 
-    def __init__(self, first_names: frozenset[str]):
+    def __init__(self, first: Gazetteer, last: Gazetteer):
         import ahocorasick
 
-        self.first = first_names
-        words: dict[str, str] = {}
-        for w in first_names:
-            words[w] = words[w.upper()] = "first"
-        words |= {w + " ": "title" for w in TITLES}
+        self.first, self.last = first, last
+        words: dict[str, str] = {w + " ": "title" for w in TITLES}
         words |= {w + " ": "before" for w in STREETS_BEFORE} | {w + " ": "french" for w in STREETS_FRENCH}
         words |= {w + " ": "german" for w in STREETS_GERMAN}
         words |= {" " + w: "after" for w in STREETS_AFTER}
@@ -119,26 +160,22 @@ class Finder:
         for w, kind in words.items():
             self.automaton.add_word(w, (kind, len(w)))
         self.automaton.make_automaton()
+        self.memo: dict[str, int] = {}
+
+    def __reduce__(self):
+        return Finder, (self.first, self.last)
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         found: list[tuple[str, int, int]] = []
         for end, (kind, size) in self.automaton.iter(text):
             start, end = end - size + 1, end + 1
-            if kind == "first":
-                if (start and (text[start - 1].isalnum() or text[start - 1] in "@.+_-")) or (end < len(text) and (text[end].isalnum() or text[end] in "@+_-")):
-                    continue
-                tail = _NAME_TAIL.match(text, end)
-                if tail:
-                    found.append(("person_name", start, tail.end()))
-                elif before := _SURNAME_FIRST.search(text, max(0, start - 40), start):
-                    found.append(("person_name", before.start(1), end))
-            elif kind == "title":
+            if kind == "title":
                 if start and (text[start - 1].isalnum() or text[start - 1] in "._-"):
                     continue
                 if size == 3 and text.startswith("M.", start) and not _FRENCH.search(text, max(0, start - 14), start):
                     continue  # an initial
-                name = re.compile(r"([A-ZÀ-Þ][\wÀ-ÿ']+(?:-[A-ZÀ-Þ][\wÀ-ÿ']+)?)").match(text, end)
-                if name and name.group() not in self.first and not name.group().endswith("."):
+                name = _TITLED.match(text, end)
+                if name and name.group() not in _TITLES and not name.group().endswith("."):
                     found.append(("person_name", end, name.end()))
             elif kind == "mail":
                 low = start
@@ -175,6 +212,7 @@ class Finder:
                 m = re.search(r"(?<![\w.,-])\d{1,4}[A-Za-z]?(?: [A-ZÀ-Þ][\wÀ-ÿ'-]+){1,3}$", text[max(0, start - 48) : start])
                 if m:
                     found.append(("address", max(0, start - 48) + m.start(), end))
+        found += names_in(text)
         for m in _INITIAL.finditer(text):
             french = m.group().startswith("M. ") and _FRENCH.search(text, max(0, m.start() - 14), m.start())
             if not french:
@@ -196,72 +234,114 @@ class Finder:
     @property
     def by_kind(self) -> dict[str, list]:
         if not hasattr(self, "_by_kind"):
-            self._by_kind = {k: labelers(k, self.first) for k in KINDS}
+            self._by_kind = {k: labelers(k, self.first, self.last) for k in KINDS}
         return self._by_kind
 
+    def features(self, text: str, span: tuple[str, int, int]) -> tuple[list[int], list[int]]:
+        """A span's votes, and the buckets of its features: votes, shape and the words around."""
+        kind, start, end = span
+        votes = self.votes(text, span)
+        said = text[start:end]
+        left = [t.lower() for t in _TOKEN.findall(text[max(0, start - 40) : start])[-3:]]
+        right = [t.lower() for t in _TOKEN.findall(text[end : end + 30])[:2]]
+        named = [f"v{j}{v}" for j, v in enumerate(votes)] + [f"l{i}{w}" for i, w in enumerate(reversed(left))] + [f"r{i}{w}" for i, w in enumerate(right)] + ["l" + " ".join(left[-2:]), "b"]
+        if kind in ("phone", "id_number"):
+            named.append("s" + re.sub(r"\d+", lambda m: str(len(m.group())), said))
+        elif kind == "person_name":
+            named.append("s" + re.sub(r"[A-ZÀ-Þ]", "A", re.sub(r"[^\W\d_A-ZÀ-Þ]+", "a", said)))
+            one, two = _ends(said)
+            named += [f"f{round(self.first(one))}", f"g{round(self.last(two))}", f"fg{round(self.first(one) / 2)}{round(self.last(two) / 2)}"]
+        out = []
+        for f in named:
+            key = kind[0] + f
+            at = self.memo.get(key)
+            if at is None:
+                at = _bucket(key, WEIGHTS)
+                if len(self.memo) < 500_000:
+                    self.memo[key] = at
+            out.append(at)
+        return votes, out
+
+
+_DIGIT = re.compile(r"\d")
+_TITLES = frozenset(t.rstrip(".") for t in TITLES)
+
+
+def names_in(text: str) -> list[tuple[str, int, int]]:
+    """Capitalised pairs that may be names of persons."""
+    out = []
+    for m in _NAME.finditer(text):
+        low, high = m.span(1)
+        words = text[low:high].split()
+        if words[0].rstrip(".") not in _TITLES and words[-1] not in _TITLES and not _DIGIT.search(text, low, high):
+            out.append(("person_name", low, high))
+    return out
+
 
 def estimate(votes: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Probability that each span is one, by expectation-maximisation over the labelers' reliabilities.
 
-    A labeler has, for true and for false spans, a chance of each vote, silence included; more rounds
-    sharpen these. It begins with the labelers' majority.
+    A labeler has, for true and for false spans, a chance of each vote; more rounds sharpen these, and its
+    silence says nothing. It begins with the labelers' majority.
     """
     p = 1 / (1 + np.exp(-1.5 * votes.sum(1)))
     for _ in range(rounds):
         prior = np.clip(p.mean(), 0.02, 0.98)
         score = np.full(len(votes), np.log(prior / (1 - prior)))
         for j in range(votes.shape[1]):
-            for v in (-1, 0, 1):
+            for v in (-1, 1):
                 at = votes[:, j] == v
                 yes = (p[at].sum() + 1) / (p.sum() + 3)
                 no = ((1 - p[at]).sum() + 1) / ((1 - p).sum() + 3)
                 # a vote for is never taken as one against, nor the other way round
                 weight = np.log(yes / no)
-                score[at] += max(weight, 0) if v == 1 else min(weight, 0) if v == -1 else weight * 0.5
+                score[at] += max(weight, 0) if v == 1 else min(weight, 0)
         p = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
     return p
 
 
-def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 0.5, decay: float = 1e-3) -> np.ndarray:
-    w = np.zeros(x.shape[1])
+def logistic(features: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 2.0, decay: float = 1e-4) -> np.ndarray:
+    """Weights of a logistic classifier; each row of ``features`` has the buckets that are set in it."""
+    n, width = features.shape
+    w = np.zeros(WEIGHTS)
+    seen, at = np.unique(features, return_inverse=True)
+    at, v, squares = at.reshape(n, width), np.zeros(len(seen)), np.full(len(seen), 1e-8)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w -= rate * (x.T @ (p - y) / max(1, len(x)) + decay * w)
+        p = 1 / (1 + np.exp(-np.clip(v[at].sum(1), -30, 30)))
+        grad = np.bincount(at.reshape(-1), np.repeat((p - y) / n, width), len(seen)) + decay * v
+        squares += grad * grad
+        v -= rate * grad / np.sqrt(squares) / width
+    w[seen] = v
     return w
 
 
-def _features(votes: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.ones((len(votes), 1)), votes > 0, votes < 0], axis=1).astype(np.float64)
-
-
 class Classifier:
-    """The final span classifier: weights over votes, of each kind."""
+    """The final span classifier: weights over votes, shapes and context words, of each kind."""
 
-    def __init__(self, finder: Finder, texts: list[str], most: int = 30_000):
+    def __init__(self, finder: Finder, texts: list[str], most: int = 60_000):
         rows: dict[str, list] = defaultdict(list)
         for text in texts:
             for span in finder.spans(text):
                 if len(rows[span[0]]) < most:
-                    rows[span[0]].append(finder.votes(text, span))
-        self.weights: dict[str, np.ndarray] = {}
+                    rows[span[0]].append(finder.features(text, span))
+        self.weights: dict[str, list[float]] = {}
         for kind in KINDS:
-            n = len(finder.by_kind[kind])
-            votes = np.array(rows[kind], np.int8).reshape(-1, n)
-            if len(votes):
-                self.weights[kind] = logistic(_features(votes), estimate(votes))
+            if rows[kind]:
+                width = max(len(f) for _, f in rows[kind])
+                padded = np.array([f + f[-1:] * (width - len(f)) for _, f in rows[kind]])
+                self.weights[kind] = logistic(padded, estimate(np.array([v for v, _ in rows[kind]], np.int8))).tolist()
             else:
-                self.weights[kind] = np.concatenate([[0.0], np.ones(n), -np.ones(n)])
+                self.weights[kind] = [0.0] * WEIGHTS
 
-    def score(self, kind: str, votes: list[int]) -> float:
+    def score(self, kind: str, features: list[int]) -> float:
         w = self.weights[kind]
-        n = len(votes)
-        return float(w[0] + sum(w[1 + j] if v > 0 else w[1 + n + j] if v < 0 else 0.0 for j, v in enumerate(votes)))
+        return sum(w[i] for i in features)
 
     def found(self, finder: Finder, text: str) -> list[tuple[int, int, str]]:
         """Spans judged to be personal data; of overlapping ones the surest, the longest of like ones."""
         scored = []
         for span in finder.spans(text):
-            s = self.score(span[0], finder.votes(text, span))
+            s = self.score(span[0], finder.features(text, span)[1])
             if s > 0:
                 scored.append((span[0] == "email", min(s, 8.0), span[2] - span[1], span))
         kept: list[tuple[int, int, str]] = []
@@ -273,30 +353,67 @@ class Classifier:
         return sorted(kept)
 
 
-def first_names(chunks: DataFrame, least: int = 3, most: int = 5000) -> frozenset[str]:
-    """First names by how often the corpus has them where persons are named; at most ``most``."""
-    named = chunks.where("text is not null").select(F.explode(F.regexp_extract_all("text", F.lit(_MINING), F.lit(1))).alias("name"))
-    rows = named.groupBy("name").count().where(F.col("count") >= least).orderBy(F.desc("count"), "name").limit(most).collect()
-    return frozenset(r.name for r in rows)
+def gazetteers(texts: DataFrame) -> tuple[Gazetteer, Gazetteer]:
+    """Gazetteers of first and last words of names, by all capitalised pairs of the corpus.
 
+    First words are judged by how often a cue is before the name, last words also by their first words.
+    Counts are summed up per batch before they move; what comes to the driver is at most ``BUCKETS`` rows
+    of three numbers for each, whatever the corpus.
+    """
 
-def personal_data(chunks: DataFrame, kinds: DataFrame, sample: int = 3000) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs, named = [], []
+            for text in batch.column("text").to_pylist():
+                for _, low, high in names_in(text):
+                    if text[low:high].isupper():
+                        continue  # headings in capitals say nothing about words
+                    one, two = _ends(text[low:high])
+                    pairs.append(_bucket(one.lower(), BUCKETS) * BUCKETS + _bucket(two.lower(), BUCKETS))
+                    named.append(bool(_PERSON_LEFT.search(text, max(0, low - 24), low)) and "\n" not in text[low:high])
+            pair, of = np.unique(np.array(pairs, np.int64), return_inverse=True)
+            n, persons = np.bincount(of.reshape(-1), minlength=len(pair)), np.bincount(of.reshape(-1), np.array(named, np.float64), len(pair)).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"one": pa.array(pair // BUCKETS), "two": pa.array(pair % BUCKETS), "n": pa.array(n, pa.int64()), "persons": pa.array(persons, pa.int64())})
+
+    def table(counts: DataFrame, column: str) -> Gazetteer:
+        rows = counts.groupBy(column).agg(F.sum("n").alias("n"), F.sum("persons").alias("persons")).toArrow()
+        seen, persons = np.zeros(BUCKETS), np.zeros(BUCKETS)
+        at = rows.column(column).to_numpy()
+        seen[at], persons[at] = rows.column("n").to_numpy(), rows.column("persons").to_numpy()
+        return Gazetteer(persons, seen)
+
+    pairs = texts.where("text is not null").select("text").mapInArrow(count, "one bigint, two bigint, n bigint, persons bigint")
+    pairs = staged(pairs.groupBy("one", "two").agg(F.sum("n").alias("n"), F.sum("persons").alias("persons")), "pairs")
+    first = table(pairs, "one")
+
+    def by_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # a known first name makes a name wherever it stands
+            n, persons = batch.column("n").to_numpy(), batch.column("persons").to_numpy()
+            known = first.table[batch.column("one").to_numpy()] > 16
+            yield pa.RecordBatch.from_pydict({"two": batch.column("two"), "n": batch.column("n"), "persons": pa.array(np.where(known, n, persons))})
+
+    return first, table(pairs.mapInArrow(by_first, "two bigint, n bigint, persons bigint"), "two")
+
+
+def personal_data(chunks: DataFrame, kinds: DataFrame, sample: int = 4000) -> DataFrame:
     """``id, text, pii, pii_types, spans``: every chunk with placeholders in place of personal data.
 
-    ``kinds`` gives the placeholders; ``spans`` are structs ``kind, start, end`` in code points of the
-    old text. A chunk delivered twice has one row; rows without id are left out; a null text stays null
-    and has none. At most ``sample`` chunks, picked by hash, train the classifier.
+    ``kinds`` gives the placeholders (at most 1000 rows); ``spans`` are structs ``kind, start, end`` in
+    code points of the old text. A chunk delivered twice has one row; rows without id are left out; a null
+    text stays null and has none. At most ``sample`` chunks, picked by hash, train the classifier.
     """
-    rows = kinds.where("kind is not null and placeholder is not null").limit(100).collect()
+    rows = kinds.where("kind is not null and placeholder is not null").limit(1001).collect()
+    if len(rows) > 1000:
+        raise ValueError("more than 1000 kinds")
     placeholders = {k: f"[{k.upper()}]" for k in KINDS} | {r.kind: r.placeholder for r in rows}
-    names = first_names(chunks)
     texts = chunks.where("id is not null").select("id", "text")
-    every = max(1, texts.count() // sample)
+    names = gazetteers(texts)
+    every = max(1, texts.select("id").count() // sample)
     picked = texts.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("id"), F.lit(every)) == 0)).orderBy(F.xxhash64("id")).limit(sample).toArrow()
-    model = Classifier(Finder(names), picked.column("text").to_pylist())
+    model = Classifier(Finder(*names), picked.column("text").to_pylist())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(names)
+        finder = Finder(*names)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             out, spans, types = [], [], []

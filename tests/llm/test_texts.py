@@ -52,7 +52,19 @@ def test_accuracy_on_held_out_samples(spark, data):
 
 # --- personal data -----------------------------------------------------------------------------------
 
-NAMES = frozenset({"Petra", "Jonas", "Maike", "Rémy"})
+def gazetteer(*words, never=()):
+    seen, persons = np.zeros(personal_data.BUCKETS), np.zeros(personal_data.BUCKETS)
+    for i in range(2000):
+        seen[personal_data._bucket(f"thing{i}", personal_data.BUCKETS)] += 9
+    for w in words:
+        at = personal_data._bucket(w, personal_data.BUCKETS)
+        seen[at], persons[at] = seen[at] + 30, persons[at] + 25
+    for w in never:
+        seen[personal_data._bucket(w, personal_data.BUCKETS)] += 30
+    return personal_data.Gazetteer(persons, seen)
+
+
+FIRST, LAST = gazetteer("petra", "jonas", "maike", "rémy", never=("zigapi", "bridge")), gazetteer(never=("bridge", "mount"))
 SAID = [
     ("Contact: Petra Q. Wenstham <petra.w@mail.zo.example>", {("person_name", "Petra Q. Wenstham"), ("email", "petra.w@mail.zo.example")}),
     ("As Dr. Jonas Farsby noted, it was not ready.", {("person_name", "Jonas Farsby")}),
@@ -65,12 +77,29 @@ SAID = [
 
 
 def test_spans_of_personal_data():
-    finder = personal_data.Finder(NAMES)
+    finder = personal_data.Finder(FIRST, LAST)
     model = personal_data.Classifier(finder, [t for t, _ in SAID] * 20)
     for text, expected in SAID:
         assert {(k, text[a:b]) for a, b, k in model.found(finder, text)} == expected, text
 
 
+def test_words_around_find_names_that_no_gazetteer_has():
+    # the classifier learns the wording from names it knows and finds others in it; wordings of things stay out
+    finder = personal_data.Finder(FIRST, gazetteer(never=("plan", "labs")))
+    known = [f"Contact: {a} Far{b} <far{b}@mail.zo.example>\nThe parcel for {a} Far{b} goes to the desk." for a in ("Petra", "Jonas", "Maike") for b in ("sby", "wick", "mann", "eau")]
+    things = [f"Der Plan von Zo{b} misst das Gerät, und die Wartung {b.title()}abo Labs bleibt." for b in ("gi", "fe", "ta", "ru", "mi", "po", "la", "ke", "su", "no")]
+    model = personal_data.Classifier(finder, (known + things) * 3)
+    text = "The parcel for Tovi Belmar goes to the desk. Der Plan von Zobu misst das Gerät, und die Wartung Tagabo Labs bleibt."
+    assert {text[a:b] for a, b, _ in model.found(finder, text)} == {"Tovi Belmar"}
+
+
+def test_gazetteers_count_all_texts(spark):
+    rows = [("Contact: Inga Solbrek and more\nNext line",)] * 6 + [("It is kept by the Zorba Press of Tolme",)] * 40 + [(None,), ("",)]
+    first, last = personal_data.gazetteers(spark.createDataFrame(rows, "text string"))
+    assert first("inga") > 1 > first("zorba") and last("solbrek") > 1 and last("press") < 0
+    assert personal_data.gazetteers(spark.createDataFrame([], "text string"))[0]("inga") == 0
+
+
 def test_estimated_reliabilities_find_the_truth():
     rng = np.random.default_rng(2)
     truth = rng.random(2000) < 0.4
