@@ -9,6 +9,7 @@ resulting probabilities, makes the final decision for every span.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections import defaultdict
@@ -72,16 +73,23 @@ class Gazetteer:
         rate = (counts + 4 * usual) / (seen + 4)
         odds = np.log(rate / np.maximum(1 - rate, 1e-3)) - np.log(usual / max(1 - usual, 1e-3))
         self.table = np.clip(np.rint(odds * 16), -127, 127).astype(np.int8)
+        self.memo: dict[str, float] = {}
 
     def __call__(self, word: str) -> float:
-        return float(self.table[_bucket(word.lower(), BUCKETS)]) / 16
-
-
-def _mail_nearby(span: str, before: str, after: str) -> bool:
-    """Whether a mail address beside a name has its last word."""
+        known = self.memo.get(word)
+        if known is None:
+            known = float(self.table[_bucket(word.lower(), BUCKETS)]) / 16
+            if len(self.memo) < 300_000:
+                self.memo[word] = known
+        return known
+
+
+def _mail_nearby(span: str, after: str) -> bool:
+    """Whether a mail address behind a name has its first or last word."""
+    if "@" not in after and "(at)" not in after and "[at]" not in after:
+        return False
     last = [w.lower() for w in _WORD.findall(span) if len(w) > 3]
-    around = (before + " " + after).lower()
-    return bool(last) and ("@" in around or "(at)" in around or "[at]" in around) and any(re.search(rf"{w}[\w.+-]* ?(?:@|\(at\)|\[at\])", around) for w in (last[0], last[-1]))
+    return bool(last) and any(re.search(rf"{w}[\w.+-]* ?(?:@|\(at\)|\[at\])", after.lower()) for w in (last[0], last[-1]))
 
 
 def labelers(kind: str, first: Gazetteer, last: Gazetteer) -> list[Callable[[str, str, str], int]]:
@@ -129,7 +137,7 @@ def labelers(kind: str, first: Gazetteer, last: Gazetteer) -> list[Callable[[str
         lambda s, a, b: lean(first(_ends(s)[0])),
         lambda s, a, b: lean(last(_ends(s)[1])),
         lambda s, a, b: 1 if _PERSON_LEFT.search(a) and not s.isupper() else 0,
-        lambda s, a, b: 1 if _mail_nearby(s, a, b) else 0,
+        lambda s, a, b: 1 if _mail_nearby(s, b) else 0,
         lambda s, a, b: 1 if re.search(r"\b[A-ZÀ-Þ]\.\s", s) else 0,
         lambda s, a, b: -1 if _ARTICLE.search(a) or _BEGINS_OTHERWISE.match(s) else 0,
         lambda s, a, b: -1 if re.search(r"\d|@", s) or re.match(r"[\w.]*@|\.\w", b) or a.endswith(("@", "/")) else 0,
@@ -138,6 +146,7 @@ def labelers(kind: str, first: Gazetteer, last: Gazetteer) -> list[Callable[[str
     ]
 
 
+@functools.lru_cache(maxsize=200_000)
 def _ends(name: str) -> tuple[str, str]:
     """First and last word of a name, whichever comes first in the text."""
     words = _WORD.findall(name.split(",")[-1] + " " + name.split(",")[0] if "," in name else name)
@@ -160,7 +169,7 @@ class Finder:
         for w, kind in words.items():
             self.automaton.add_word(w, (kind, len(w)))
         self.automaton.make_automaton()
-        self.memo: dict[str, int] = {}
+        self.memo: dict[tuple, list[int]] = {}
 
     def __reduce__(self):
         return Finder, (self.first, self.last)
@@ -228,7 +237,7 @@ class Finder:
 
     def votes(self, text: str, span: tuple[str, int, int]) -> list[int]:
         kind, start, end = span
-        a, b = text[max(0, start - 56) : start], text[end : end + 40]
+        a, b = text[max(0, start - (24 if kind == "person_name" else 56)) : start], text[end : end + 56]
         return [vote(text[start:end], a, b) for vote in self.by_kind[kind]]
 
     @property
@@ -242,26 +251,37 @@ class Finder:
         kind, start, end = span
         votes = self.votes(text, span)
         said = text[start:end]
-        left = [t.lower() for t in _TOKEN.findall(text[max(0, start - 40) : start])[-3:]]
-        right = [t.lower() for t in _TOKEN.findall(text[end : end + 30])[:2]]
-        named = [f"v{j}{v}" for j, v in enumerate(votes)] + [f"l{i}{w}" for i, w in enumerate(reversed(left))] + [f"r{i}{w}" for i, w in enumerate(right)] + ["l" + " ".join(left[-2:]), "b"]
-        if kind in ("phone", "id_number"):
-            named.append("s" + re.sub(r"\d+", lambda m: str(len(m.group())), said))
-        elif kind == "person_name":
-            named.append("s" + re.sub(r"[A-ZÀ-Þ]", "A", re.sub(r"[^\W\d_A-ZÀ-Þ]+", "a", said)))
-            one, two = _ends(said)
-            named += [f"f{round(self.first(one))}", f"g{round(self.last(two))}", f"fg{round(self.first(one) / 2)}{round(self.last(two) / 2)}"]
-        out = []
-        for f in named:
-            key = kind[0] + f
-            at = self.memo.get(key)
-            if at is None:
-                at = _bucket(key, WEIGHTS)
-                if len(self.memo) < 500_000:
-                    self.memo[key] = at
-            out.append(at)
+        left = _TOKEN.findall(text[max(0, start - 30) : start].lower())[-3:]
+        right = _TOKEN.findall(text[end : end + 24].lower())[:2]
+        mark, memo = kind[0], self.memo
+        known = memo.get((mark, *votes))
+        if known is None:
+            known = self._remember((mark, *votes), [f"v{j}{v}" for j, v in enumerate(votes)] + ["b"])
+        out = [*known, *[at for i, w in enumerate(reversed(left)) for at in self._one(mark, "l", i, w)], *[at for i, w in enumerate(right) for at in self._one(mark, "r", i, w)], *self._one(mark, "l", "", " ".join(left[-2:]))]
+        if kind in ("phone", "id_number", "person_name"):
+            shaped = memo.get((mark, said))
+            if shaped is None:
+                shaped = self._remember((mark, said), self._shape(kind, said))
+            out += shaped
         return votes, out
 
+    def _shape(self, kind: str, said: str) -> list[str]:
+        if kind != "person_name":
+            return ["s" + re.sub(r"\d+", lambda m: str(len(m.group())), said)]
+        one, two = (g(w) for g, w in zip((self.first, self.last), _ends(said)))
+        return ["s" + re.sub(r"[A-ZÀ-Þ]", "A", re.sub(r"[^\W\d_A-ZÀ-Þ]+", "a", said)), f"f{round(one)}", f"g{round(two)}", f"fg{round(one / 2)}{round(two / 2)}"]
+
+    def _one(self, mark: str, side: str, place: int | str, word: str) -> list[int]:
+        key = (mark, side, place, word)
+        return self.memo.get(key) or self._remember(key, [f"{side}{place}{word}"])
+
+    def _remember(self, key: tuple, named: list[str]) -> list[int]:
+        """Buckets of features, kept so that each is hashed once as long as there is room."""
+        made = [_bucket(key[0] + f, WEIGHTS) for f in named]
+        if len(self.memo) < 300_000:
+            self.memo[key] = made
+        return made
+
 
 _DIGIT = re.compile(r"\d")
 _TITLES = frozenset(t.rstrip(".") for t in TITLES)
@@ -338,14 +358,15 @@ class Classifier:
         return sum(w[i] for i in features)
 
     def found(self, finder: Finder, text: str) -> list[tuple[int, int, str]]:
-        """Spans judged to be personal data; of overlapping ones the surest, the longest of like ones."""
+        """Spans judged to be personal data; of overlapping ones the surest, the longest of those that are sure."""
         scored = []
         for span in finder.spans(text):
             s = self.score(span[0], finder.features(text, span)[1])
             if s > 0:
-                scored.append((span[0] == "email", min(s, 8.0), span[2] - span[1], span))
+                plain = "," not in text[span[1] : span[2]] or span[0] != "person_name"  # rather first and last name than last and first
+                scored.append((span[0] == "email", min(s, 2.0), plain, span[2] - span[1], span))
         kept: list[tuple[int, int, str]] = []
-        for _, _, _, (kind, start, end) in sorted(scored, key=lambda x: x[:3], reverse=True):
+        for *_, (kind, start, end) in sorted(scored, key=lambda x: x[:4], reverse=True):
             if kind == "address":
                 end = _TOWN.match(text, end).end()
             if all(end <= a or start >= b for a, b, _ in kept):
