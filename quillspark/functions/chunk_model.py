@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quillspark.functions.binding import let
 
@@ -76,6 +77,15 @@ def detect_language(text: Column, default: str = "en") -> Column:
     return let(let(words, counts), pick)
 
 
+# Times of the record keep their microseconds.
+_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def chunk_record(columns: list[str]) -> Column:
     """JSON of a chunk without its vector, nulls kept."""
-    return F.to_json(F.struct(*[c for c in columns if c != "embedding"]), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*[c for c in columns if c != "embedding"]), {"ignoreNullFields": "false"} | _TIMES)
+
+
+def from_record(record: Column, schema: StructType) -> Column:
+    """Struct of a chunk from its JSON, with the columns of ``schema``; what the JSON lacks is null."""
+    return F.from_json(record, schema, _TIMES)

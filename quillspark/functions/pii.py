@@ -24,7 +24,7 @@ NO_NAMES = ["The Internet", "New York", "United States", "Web Services", "Machin
 FLAGS = ["email", "phone", "ssn", "credit_card", "ip_address", "person_name", "address", "id_number"]
 # What names and streets look like.
 _NAME = r"\b[A-Z][a-z]+ [A-Z][a-z]+(?:\s[A-Z][a-z]+)?\b"
-_STREET = r"(?i)\b[0-9]{1,5}\s+[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\s+(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln|Drive|Dr|Court|Ct|Circle|Cir|Place|Pl)\b"
+STREET = r"(?i)\b[0-9]{1,5}\s+[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\s+(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln|Drive|Dr|Court|Ct|Circle|Cir|Place|Pl)\b"
 
 
 def _false(match: Column, kind: str) -> Column:
@@ -42,7 +42,7 @@ def pii_flags(text: Column, kinds: list[str] | None = None) -> Column:
         if kind == "person_name":
             return F.size(F.filter(F.regexp_extract_all(t, F.lit(_NAME), F.lit(0)), lambda m: ~m.isin(NO_NAMES))) > 2
         if kind == "address":
-            return F.regexp_like(t, F.lit(_STREET))
+            return F.regexp_like(t, F.lit(STREET))
         if kind in NO_DATA:
             return F.exists(F.regexp_extract_all(t, F.lit(PATTERNS[kind]), F.lit(0)), lambda m: ~_false(m, kind))
         return F.regexp_like(t, F.lit(PATTERNS[kind]))

@@ -12,6 +12,8 @@ from quillspark.functions.urls import has_any
 # Metadata fields read for dates, in order.
 PUBLISHED = ["datePublished", "published_time", "publish_date", "created_at", "publication_date"]
 MODIFIED = ["dateModified", "modified_time", "updated_at", "lastmod", "last_updated"]
+VALID_FROM = ["validFrom", "effective_date", "start_date"]
+VALID_TO = ["validTo", "expiry_date", "end_date"]
 # Licence families named in metadata, in order, and whether they ask for attribution.
 FAMILIES = [(["creative commons", "cc-by"], "CC-BY-4.0", True), (["cc0", "public domain"], "CC0-1.0", False), (["mit"], "MIT", True), (["apache"], "Apache-2.0", True), (["gpl"], "GPL-3.0", True)]
 
@@ -72,6 +74,12 @@ def metadata_date(metadata: Column, fields: list[str]) -> Column:
     return F.coalesce(*[iso(f) for f in fields])
 
 
+def temporal(metadata: Column) -> Column:
+    """Struct ``published_at, modified_at, valid_from, valid_to`` of a map of strings; null where no date can be read."""
+    fields = {"published_at": PUBLISHED, "modified_at": MODIFIED, "valid_from": VALID_FROM, "valid_to": VALID_TO}
+    return F.struct(*[metadata_date(metadata, names).alias(name) for name, names in fields.items()])
+
+
 def expired(valid_from: Column, valid_to: Column, at: Column) -> Column:
     """Whether ``at`` lies outside a chunk's validity; open ends don't expire."""
     return F.coalesce(at > valid_to, F.lit(False)) | F.coalesce(at < valid_from, F.lit(False))

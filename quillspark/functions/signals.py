@@ -123,7 +123,9 @@ def modality(text: Column, has_table: Column, has_code: Column) -> Column:
 
     t = F.coalesce(text, F.lit(""))
     first = F.substring(F.regexp_replace(t, r"^[ \t\n\r\f]+", ""), 1, 1)
-    parsed = F.when(first.isin("{", "["), F.try_parse_json(t).isNotNull()).otherwise(F.lit(False))
+    # readers pass over what follows a first value, so the text must be one value in an array and in an object
+    alone = (F.json_array_length(F.concat(F.lit("["), t, F.lit("]"))) == 1) & F.json_object_keys(F.concat(F.lit('{"a":'), t, F.lit("}"))).isNotNull()
+    parsed = F.when(first.isin("{", "["), F.coalesce(alone, F.lit(False))).otherwise(F.lit(False))
     return F.when(has_table, "table").when(has_code, "code").when(F.size(math_expressions(t)) > 2, "equation").when(parsed, "metadata").otherwise("text")
 
 

@@ -46,10 +46,36 @@ def reuse_embeddings(chunks: DataFrame, embeddings: DataFrame, model: str) -> Da
     return chunks.where("id is not null").select("id").distinct().join(kept, F.col("id") == F.col("_id"), "left").select("id", "embedding")
 
 
-def still_valid(manifest: DataFrame, settings: str, at: Column, seconds: int = 86_400) -> DataFrame:
-    """Rows of a manifest for these settings that are not older than a day (or ``seconds``)."""
+def sources_hash(sources: DataFrame) -> str:
+    """Hash of a whole source list, whatever its order: any added, changed or dropped row gives another one."""
+    each = F.conv(F.substring(source_hash("id", "url", "title", "tags"), 1, 12), 16, 10).cast("decimal(20,0)")
+    row = sources.select("id", "url", "title", "tags").agg(F.count("*").alias("n"), F.sum(each).alias("s"), F.sum((each * each) % 1_000_000_007).alias("q")).first()
+    return hashlib.sha256(f"{row.n} {row.s} {row.q}".encode()).hexdigest()[:16]
+
+
+def still_valid(manifest: DataFrame, settings: str, at: Column, seconds: int = 86_400, sources: str | None = None) -> DataFrame:
+    """Rows of a manifest for these settings, and these sources if given, that are not older than a day (or ``seconds``)."""
     age = F.unix_timestamp(at.cast("timestamp")) - F.unix_timestamp(F.col("created_at").cast("timestamp"))
-    return manifest.where((F.col("settings") == settings) & age.between(0, seconds))
+    kept = manifest.where((F.col("settings") == settings) & age.between(0, seconds))
+    return kept if sources is None else kept.where(F.col("sources") == sources)
+
+
+def keep_chunks(chunks: DataFrame, folder: str, settings: str, sources: str, at: Column) -> None:
+    """Chunks without vectors kept for a run's settings and sources; an earlier run of the same is replaced."""
+    named = chunks.drop("embedding").withColumns({"settings": F.lit(settings), "sources": F.lit(sources), "created_at": at})
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("settings", "sources").parquet(folder)
+
+
+def kept_chunks(spark, folder: str, settings: str, sources: str, at: Column, seconds: int = 86_400) -> DataFrame:
+    """What ``keep_chunks`` kept for these settings and sources, without rows if it is too old; only that partition is read."""
+    rows = spark.read.option("basePath", folder).schema(spark.read.parquet(folder).schema).parquet(folder)
+    return still_valid(rows, settings, at, seconds, sources).drop("settings", "sources", "created_at")
+
+
+def keep_embeddings(chunks: DataFrame, folder: str) -> None:
+    """Vectors added to the kept ones, by model; of a repeated id the reader takes one."""
+    rows = chunks.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0)).select("id", "embedding", "embedding_model")
+    rows.write.mode("append").partitionBy("embedding_model").parquet(folder)
 
 
 def without_old(manifest: DataFrame, at: Column, hours: int = 168) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,10 +34,11 @@ def hashing_embedder(dim: int = 64) -> Callable[[list[str]], list[list[float] |
     return embed
 
 
-def with_embeddings(chunks: DataFrame, embed: Callable[[list[str]], list[list[float] | None]], model: str, batch: int = 64, text: str = "text") -> DataFrame:
+def with_embeddings(chunks: DataFrame, embed: Callable[[list[str]], list[list[float] | None]], model: str, batch: int = 64, text: str = "text", delay: float = 0.0) -> DataFrame:
     """``chunks`` with ``embedding, embedding_model, embedding_dim``.
 
-    Texts go out ``batch`` at a time; a batch that fails has nulls, and so have null texts.
+    Texts go out ``batch`` at a time with ``delay`` seconds between two batches of a task; a batch that
+    fails has nulls, and so have null texts.
     """
 
     @F.pandas_udf("array<float>")
@@ -49,6 +51,7 @@ def with_embeddings(chunks: DataFrame, embed: Callable[[list[str]], list[list[fl
                     out += embed(some)
                 except Exception:  # noqa: BLE001 - a remote batch may fail in any way
                     out += [None] * len(some)
+                time.sleep(delay)
             yield pd.Series(out, dtype=object)
 
     made = chunks.withColumn("embedding", vectors(F.col(text)))

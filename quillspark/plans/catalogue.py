@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import chunk_model, cleaning, hashing, pii, rights, semantics, signals, urls
-from quillspark.operators import chunking, dedup, extraction, reports, routing, state, vectors
+from quillspark.operators import chunking, dedup, extraction, html, reports, routing, state, vectors
 from quillspark.plans import pipeline
 from quillspark.sources.tables import table
 
@@ -56,6 +56,25 @@ def _listed(rules: list[tuple[str, str]]) -> str:
     return "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for c, n in rules) + "], lambda x: x IS NOT NULL)"
 
 
+# White space, word characters and digits of any script, as the dialects' classes differ.
+_SP = r"\s\x0B\x1C-\x1F\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_WORD_CHARS = r"\p{L}\p{M}\p{N}\p{Pc}"
+
+
+def _unicode(pattern: str) -> str:
+    """A pattern whose classes are of all scripts."""
+    return pattern.replace("[\\w\\s,]", f"[{_WORD_CHARS}{_SP},]").replace("\\s", f"[{_SP}]").replace("\\w", f"[{_WORD_CHARS}]").replace("\\d", r"\p{Nd}")
+
+
+def _replaced(expression: str, *steps: tuple[str, str]) -> str:
+    """Replacements one after another; ``~n`` in a replacement is a line end."""
+    for pattern, new in steps:
+        quoted = " || chr(10) || ".join(f"'{x}'" for x in new.replace("'", "''").split("~n"))
+        expression = f"regexp_replace({expression}, '{pattern.replace(chr(39), chr(39) * 2)}', {quoted}, 'g')"
+    return expression
+
+
+_TRIM = (rf"^[{_SP}]+|[{_SP}]+$", "")
 _WINDOW_OPTIONS = chunking.ChunkOptions(100, 20, 10)
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\r\f]+'), lambda w: w <> '')"
 _WINDOWS = f"""
@@ -473,36 +492,55 @@ def detect_language(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", chunk_model.detect_language(F.col("text")).alias("lang"))
 
 
-# --- personal data: SQL where no pattern needs a boundary beside accented letters --------------------
+# --- personal data -----------------------------------------------------------------------------------
 
-_PII_KINDS = ["phone", "credit_card", "ip_address"]
-_CARD = r"\b(?:[0-9]{4}[-\s]?){3}[0-9]{4}\b"
-_PHONE = r"(?:\+?1[-.\s]?)?\(?[0-9]{3}\)?[-.\s]?[0-9]{3}[-.\s]?[0-9]{4}"
-_IP = r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b"
+_PHONE, _CARD, _IP = (pii.PATTERNS[k] for k in ("phone", "credit_card", "ip_address"))
+# Words between marks, so that a boundary beside accented letters is the same in both dialects.
+_MARKED = rf"regexp_replace({_T}, '([{_WORD_CHARS}]+)', chr(2) || '\1' || chr(3), 'g')"
+_NAMES = rf"regexp_extract_all({_MARKED}, '\x02[A-Z][a-z]+\x03 \x02[A-Z][a-z]+\x03(?:\s\x02[A-Z][a-z]+\x03)?')"
 
 
-def _found(pattern: str, kind: str) -> str:
-    return f"len(list_filter(regexp_extract_all({_T}, '{pattern}'), lambda m: NOT {_any('m', pii.NO_DATA[kind])})) > 0"
+def _found(kind: str) -> str:
+    if kind in pii.NO_DATA:
+        return f"len(list_filter(regexp_extract_all({_T}, '{pii.PATTERNS[kind]}'), lambda m: NOT {_any('m', pii.NO_DATA[kind])})) > 0"
+    if kind == "person_name":
+        return f"len(list_filter({_NAMES}, lambda m: NOT regexp_replace(m, '[\\x02\\x03]', '', 'g') IN ({', '.join(repr(n) for n in pii.NO_NAMES)}))) > 2"
+    return f"regexp_matches({_T}, '{pii.STREET if kind == 'address' else pii.PATTERNS[kind]}')"
 
 
-@_query(f"SELECT doc_id, {_found(_PHONE, 'phone')} AS phone, {_found(_CARD, 'credit_card')} AS credit_card, {_found(_IP, 'ip_address')} AS ip_address FROM documents")
+_FLAGS = ", ".join(f"{_found(k)} AS {k}" for k in pii.FLAGS)
+
+
+@_query(f"SELECT doc_id, {_FLAGS} FROM documents")
 def pii_flags(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", pii.pii_flags(F.col("text"), _PII_KINDS).alias("_p")).select("doc_id", "_p.*")
+    return table(spark, folder, "documents").select("doc_id", pii.pii_flags(F.col("text")).alias("_p")).select("doc_id", "_p.*")
 
 
-@_query()
+_NAMED = "list_filter([" + ", ".join(f"CASE WHEN {k} THEN '{k}' END" for k in pii.FLAGS) + "], lambda x: x IS NOT NULL)"
+
+
+@_query(f"SELECT *, CASE WHEN len({_NAMED}) > 0 THEN array_to_string({_NAMED}, ', ') ELSE 'No PII detected' END AS summary FROM (SELECT id, crawl_ts, {_FLAGS} FROM chunks)")
 def pii_all_flags(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "chunks").select("id", "crawl_ts", pii.pii_flags(F.col("text")).alias("_p")).select("id", "crawl_ts", "_p.*", pii.pii_summary(F.col("_p")).alias("summary"))
 
 
-@_query(
-    rf"""SELECT id, crawl_ts, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?i)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{{2,}}\b', '[EMAIL_REDACTED]', 'g'), '{_PHONE}', '[PHONE_REDACTED]', 'g'),
-'\b[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}\b|\b[0-9]{{9}}\b', '[SSN_REDACTED]', 'g'), '{_CARD}', '[CC_REDACTED]', 'g') AS text FROM chunks WHERE NOT regexp_matches({_T}, '[^\x00-\x7F]') AND NOT regexp_matches({_T}, '{_IP}')"""
-)
+# local addresses are marked before, and unmarked after the others are masked
+
+
+def _masked(kinds: dict[str, str], flagged: bool) -> str:
+    out = "text"
+    for kind, mask in kinds.items():
+        out = f"CASE WHEN {_found(kind)} THEN {_replaced(out, (pii.PATTERNS[kind], mask))} ELSE {out} END" if flagged else _replaced(out, (pii.PATTERNS[kind], mask))
+    local = out
+    for start, rest in (("127", r"\.0\.0\.1\b"), ("0", r"\.0\.0\.0\b"), ("192", r"\.168\."), ("10", r"\.0\."), ("172", r"\.16\.")):
+        local = f"regexp_replace({local}, '\\b({start})({rest})', '\\1' || chr(1) || '\\2', 'g')"
+    masked = f"replace({_replaced(local, (_IP, '[IP_REDACTED]'))}, chr(1), '')"
+    return f"CASE WHEN {_found('ip_address')} THEN {masked} ELSE {out} END" if flagged else masked
+
+
+@_query(f"SELECT id, crawl_ts, {_masked(pii.MASKS, False)} AS text FROM chunks")
 def pii_redact(spark: SparkSession, folder: str) -> DataFrame:
-    # only texts of which both dialects see the same word boundaries; all others in pii_redact_all
-    plain = table(spark, folder, "chunks").where(~F.regexp_like(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x7F]")) & ~F.regexp_like(F.coalesce("text", F.lit("")), F.lit(_IP)))
-    return plain.select("id", "crawl_ts", pii.redact_pii(F.col("text")).alias("text"))
+    return table(spark, folder, "chunks").select("id", "crawl_ts", pii.redact_pii(F.col("text")).alias("text"))
 
 
 @_query()
@@ -518,16 +556,85 @@ def special_sections(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "chunks").select("id", "crawl_ts", cleaning.clean_special_sections(F.col("text")).alias("text"))
 
 
-@_query()
+_HEADED = "CASE " + " ".join(f"WHEN regexp_matches(x, '(?i)^(?:{p})') THEN {_replaced(f"regexp_replace(x, '(?i)^(?:{p})', '')", _TRIM)}" for p in map(_unicode, cleaning.HEADERS)) + " ELSE x END"
+
+
+@_query(
+    rf"""SELECT id, crawl_ts, CASE WHEN text IS NOT NULL THEN array_to_string(list_filter(list_transform(list_transform(regexp_split_to_array(regexp_replace(text, '\r\n?|[\x0b\x0c\x1c-\x1e\x85\x{{2028}}\x{{2029}}]', chr(10), 'g'), '\n'),
+lambda x: {_replaced("x", _TRIM)}), lambda x: {_HEADED}), lambda x: x <> '' AND NOT regexp_matches(x, '^[0-9]{{1,4}}$')), chr(10)) END AS text FROM chunks"""
+)
 def headers_footers(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "chunks").where("format = 'pdf'").select("id", "crawl_ts", cleaning.strip_headers_footers(F.col("text")).alias("text"))
+    return table(spark, folder, "chunks").select("id", "crawl_ts", cleaning.strip_headers_footers(F.col("text")).alias("text"))
 
 
-@_query()
+_FRONT = _replaced(
+    "text", (_unicode(r"(?s)^---\s*\n.*?\n---\s*\n"), ""), (_unicode(r"(?s)^-\s+-\s+-.*?-\s+-\s+-\s*\n"), ""), (_unicode(r"-\s+-\s+-\s+(?:title|url|hostname|description|sitename|date):[^-]*-\s+-\s+-"), ""),
+    (r"(?i)<meta[^>]*>", ""), (r"(?is)<title[^>]*>.*?</title>", ""), *[(f"(?i){_unicode(p)}", "") for p in cleaning.CHROME],
+    *[(_unicode(rf"(?im)^{k}:\s*[^\n]*\n"), "") for k in cleaning.LINE_KEYS], (_unicode(r"\n\s*\n\s*\n"), "~n~n"), _TRIM,
+)
+
+
+@_query(f"SELECT doc_id, {_FRONT} AS text FROM documents")
 def frontmatter(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", cleaning.strip_frontmatter(F.col("text")).alias("text"))
 
 
+# rules about word boundaries work on words between marks, all others on the text
+_BOUNDED = _replaced(
+    rf"regexp_replace(regexp_replace(text, '[\xAD\x{{2027}}]', '', 'g'), '([{_WORD_CHARS}]+)', chr(2) || '\1' || chr(3), 'g')",
+    (_unicode(r"\x02([a-z]+)\x03-\s*\n\s*\x02([a-z]+)\x03"), r"\1\2"), *[(_unicode(rf"(?i)\x02{a}\x03\s+-\s+\x02{b}\x03"), f"{a}-{b}") for a, b in cleaning.COMPOUNDS],
+    *[(rf"(?i)\x02({a})({b})\x03", r"\1 \2") for a, b in cleaning.SPLIT_WORDS], (r"\x02([a-z]+)([A-Z][a-z]+)\x03", r"\1 \2"),
+    *[(_unicode(rf"(?i)\x02{a}\x03\s+\x02{b}\x03"), to) for a, b, to in [("for", "example", "for example"), *[(a, b, a + b) for a, b in cleaning.JOINED_WORDS]]], (r"[\x02\x03]", ""),
+)
+_UNHYPHENED = _replaced(
+    _BOUNDED, (f"[{cleaning.BULLETS}‒]", "-"), ("[—–―⸺⸻]", " - "), (rf"[{_SP}]+([,;!?])", r"\1"), (":([A-Za-z])", r": \1"), (r"\.([A-Z])", r". \1"), ("([,;])([A-Za-z])", r"\1 \2"),
+    (_unicode(r"([0-9]+)\.\s+([0-9]+)"), r"\1.\2"), ("([.!?])([A-Z])", r"\1 \2"), (r"[ \t]+", " "), (r" +\n", "~n"), (r"\n +", "~n"), (_unicode(r"([.!?])\s*\n\s*([a-z])"), r"\1 \2"),
+    (r"\n\n", "§PARA§"), (rf"[{_SP}]+", " "), ("§PARA§", "~n~n"),
+)
+
+
+@_query(f"SELECT id, crawl_ts, {_UNHYPHENED} AS text FROM chunks")
+def hyphenation(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "chunks").select("id", "crawl_ts", cleaning.fix_hyphenation(F.col("text")).alias("text"))
+
+
+_NORMAL = _replaced("nfc_normalize(text)", *cleaning.LIGATURES.items(), ("[–—]", "-"), (r"[ \t]+", " "), (_unicode(r"\s*\n\s*"), "~n"), _TRIM)
+
+
+@_query(f"SELECT doc_id, {_NORMAL} AS text FROM documents")
+def normal_text(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", cleaning.normalize_text(F.col("text")).alias("text"))
+
+
+_POLISHED = _replaced(
+    "text", (r"\.([A-Z])", r". \1"), (_unicode(r"\be\.g\.") + r"\s*", "e.g., "), (_unicode(r"\bi\.e\.") + r"\s*", "i.e., "), (rf"[{_SP}]+([,;:])", r"\1"), (rf"([,;:])[{_SP}]*", r"\1 "), (rf"[{_SP}]+", " "), _TRIM
+)
+
+
+@_query(f"SELECT id, crawl_ts, {_POLISHED} AS text FROM chunks")
+def polished(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "chunks").select("id", "crawl_ts", cleaning.polish_sentences(F.col("text")).alias("text"))
+
+
+# a dash that stands first in its line because a list mark before took the line end is left as it is
+_LISTED_ITEMS = _replaced(
+    "text", (rf"[{cleaning.LIST_MARKS}][{_SP}]*", "- "), (rf"[{_SP}]*-(?:[{_SP}]*\n(-)|[{_SP}]*)", r"~n- \1"), (rf"(^|[^\n])([0-9]+\.)[{_SP}]+", r"\1~n\2 "), (r"\n{2,}([-0-9])", r"~n\1")
+)
+
+
+@_query(f"SELECT id, crawl_ts, {_LISTED_ITEMS} AS text FROM chunks")
+def bullets(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "chunks").select("id", "crawl_ts", cleaning.normalize_bullets(F.col("text")).alias("text"))
+
+
+# what is taken out comes back as it was; web addresses are the first to be taken out
+@_query(rf"""SELECT id, crawl_ts, {_T} AS text, regexp_extract_all({_T}, '(?:https?|ftp|s3|ssh|git)://[^{_SP}<>"{{}}|\\^`\[\]]+') AS addresses FROM chunks""")
+def technical_content(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "chunks").withColumn("_h", cleaning.preserve_technical(F.coalesce("text", F.lit(""))))
+    addresses = F.transform(F.filter("_h.kept", lambda k: k["placeholder"].startswith("__PRESERVED_URL_")), lambda k: k["original"])
+    return rows.select("id", "crawl_ts", cleaning.restore_technical(F.col("_h.text"), F.col("_h.kept")).alias("text"), addresses.alias("addresses"))
+
+
 @_query()
 def clean_text(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.cleaned(table(spark, folder, "chunks").select("id", "crawl_ts", "text", "format"), "text", F.col("format")).select("id", "crawl_ts", "_clean.*")
@@ -550,24 +657,47 @@ def document_pipeline(spark: SparkSession, folder: str) -> DataFrame:
 # --- pages: the chunks' texts put into pages, as the tables have no HTML ------------------------------
 
 
+# Six shapes of pages by document: other robots tags, places of the main content, furniture and metadata.
+_ROBOTS = ['<meta name="robots" content="NOINDEX, follow">', '<meta name="robots" content="nofollow">', "<META NAME='ROBOTS' CONTENT='noindex,nofollow'>", '<meta name="robots" content="all">', "", '<meta name="googlebot" content="noindex">']
+_HEADS = ['<meta name="author" content="@S">', '<meta property="article:author" content="@S"><meta property="og:site_name" content="Site @S">', '<meta name="description" content="About @S">', '<meta name="keywords" content="a, b"><meta name="twitter:creator" content="@S">', "",
+          '<meta property="article:published_time" content="2024-05-06"><script type="application/ld+json">{"@type": "Article", "headline": "@S"}</script>']
+_OPEN = ["<nav><p>Menu of pages</p></nav><article>", '<div class="sidebar"><p>Side</p></div><main>', '<div role="main">', '<div id="content"><div class="ad-container"><p>Buy</p></div>', '<div class="post"><p>Advertisement</p>', '<div aria-hidden="true"><p>Hidden</p></div>']
+_CLOSE = ["</article><footer><p>end</p></footer>", "</main><p>after the main part</p>", "</div>", "</div>", '</div><p id="cookie-note">Cookies</p>', '<p class="cookie">We use cookies</p>']
+
+
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    body = F.concat(F.lit('<html lang="en"><head><title>'), F.coalesce("title", F.lit("")), F.lit('</title><meta name="robots" content="NOINDEX, follow"><meta name="author" content="'), F.coalesce("source", F.lit("")),
-                    F.lit('"></head><body><nav><p>Menu of pages</p></nav><article><p>'), F.replace(F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("\n"), F.lit("</p><p>")), F.lit("</p></article><footer>end</footer></body></html>"))
-    return table(spark, folder, "documents").select("doc_id", "title", "source", body.alias("html"))
+    pick = lambda parts: F.element_at(F.array(*[F.lit(x) for x in parts]), (F.col("doc_id") % len(parts)).cast("int") + 1)
+    source = F.coalesce("source", F.lit(""))
+    escaped = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    head = F.concat(F.lit('<html lang="'), F.coalesce("lang", F.lit("")), F.lit('"><head><title>'), F.coalesce("title", F.lit("")), F.lit("</title>"), pick(_ROBOTS), F.replace(pick(_HEADS), F.lit("@S"), source), F.lit("</head><body>"))
+    body = F.concat(pick(_OPEN), F.lit("<p>"), F.replace(escaped, F.lit("\n"), F.lit("</p><p>")), F.lit("</p>"), pick(_CLOSE), F.lit("</body></html>"))
+    return table(spark, folder, "documents").select("doc_id", F.concat(head, body).alias("html"))
 
 
-@_query("SELECT doc_id, true AS noindex, false AS nofollow FROM documents")
+@_query("SELECT doc_id, doc_id % 6 IN (0, 2) AS noindex, doc_id % 6 IN (1, 2) AS nofollow FROM documents")
 def robots(spark: SparkSession, folder: str) -> DataFrame:
     return _pages(spark, folder).select("doc_id", rights.robots(F.col("html")).alias("_r")).select("doc_id", "_r.*")
 
 
-@_query("SELECT doc_id, nullif(trim(title), '') AS title, 'en' AS language, nullif(source, '') AS author FROM documents")
+@_query(
+    """SELECT doc_id, nullif(trim(title), '') AS title, nullif(lang, '') AS language, CASE WHEN k IN (0, 1, 3) THEN nullif(source, '') END AS author, CASE WHEN k = 1 THEN 'Site ' || coalesce(source, '') END AS site_name,
+CASE WHEN k = 2 THEN 'About ' || coalesce(source, '') END AS description, CASE WHEN k = 3 THEN 'a, b' END AS keywords, CASE WHEN k = 5 THEN '2024-05-06' END AS published_time, CASE WHEN k = 5 THEN coalesce(source, '') END AS headline,
+CASE WHEN k = 1 THEN 'Site ' || coalesce(source, '') END AS og_site_name FROM (SELECT *, doc_id % 6 AS k FROM documents)"""
+)
 def html_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    m = F.col("_x.metadata")
+    fields = [m[f].alias(f) for f in ("title", "language", "author", "site_name", "description", "keywords", "published_time")]
     rows = _pages(spark, folder).select("doc_id", extraction.page(F.col("html")).alias("_x"))
-    return rows.select("doc_id", F.col("_x.metadata.title").alias("title"), F.col("_x.metadata.language").alias("language"), F.col("_x.metadata.author").alias("author"))
+    return rows.select("doc_id", *fields, m["schema_org"]["headline"].alias("headline"), m["open_graph"]["og_site_name"].alias("og_site_name"))
 
 
-@_query()
+_PAGE_LINES = f"list_transform(string_split({_T}, chr(10)), lambda x: {_replaced('x', _TRIM)})"
+
+
+@_query(
+    f"""SELECT doc_id, {_replaced("array_to_string(ls, ' ')", (f"[{_SP}]+", " "), _TRIM)} AS text
+FROM (SELECT doc_id, list_filter({_PAGE_LINES}, lambda x: x <> '' AND NOT regexp_full_match(x, '(?i){_unicode(html.LOW_VALUE.pattern)}')) AS ls FROM documents)"""
+)
 def html_text(spark: SparkSession, folder: str) -> DataFrame:
     return _pages(spark, folder).select("doc_id", extraction.page(F.col("html"))["text"].alias("text"))
 
@@ -587,7 +717,16 @@ def domain_bigrams(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.top_phrases(table(spark, folder, "documents"), semantics.domain_bigrams(F.col("text")))
 
 
-@_query()
+_MARKED_DOCUMENT = rf"regexp_replace({_T}, '([{_WORD_CHARS}]+)', chr(2) || '\1' || chr(3), 'g')"
+_TITLES = rf"list_transform(regexp_extract_all({_MARKED_DOCUMENT}, '(?:\x02[A-Z][a-z]+\x03\s+){{1,3}}\x02[A-Z][a-z]+\x03'), lambda x: regexp_replace(x, '[\x02\x03]', '', 'g'))"
+
+
+@_query(
+    f"""WITH w AS (SELECT doc_id, {_TITLES} AS ts, {_WORDS.replace("coalesce(text, '')", "lower(coalesce(text, ''))")} AS w FROM documents),
+b AS (SELECT doc_id, list_concat(ts, list_filter(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), lambda p: regexp_matches(p, '{_BIGRAMS}'))) AS ps FROM w),
+p AS (SELECT doc_id, unnest(range(1, len(ps) + 1)) AS i, ps FROM b), c AS (SELECT doc_id, ps[i] AS phrase, count(*) AS n, min(i) AS f FROM p GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) AS rank FROM c) SELECT doc_id, phrase, n, rank FROM r WHERE rank <= 10"""
+)
 def keyphrases(spark: SparkSession, folder: str) -> DataFrame:
     phrases = F.concat(semantics.title_phrases(F.col("text")), semantics.domain_bigrams(F.col("text")))
     return dedup.top_phrases(table(spark, folder, "documents"), phrases)
@@ -599,51 +738,101 @@ def entities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_query()
-def semantic_columns(spark: SparkSession, folder: str) -> DataFrame:
-    t = F.col("text")
-    return table(spark, folder, "chunks").select(
-        "id", "crawl_ts", semantics.code_languages(t).alias("code_langs"), semantics.units(t).alias("units"), semantics.math_expressions(t).alias("math"),
-        semantics.citations(t).alias("found_citations"), semantics.table_schema(t).alias("found_table"), signals.line_quality(t, F.size(signals.words(t))).alias("line_quality"),
-    )
+def citations_of_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "chunks").select("id", "crawl_ts", semantics.citations(F.col("text")).alias("found_citations"))
+
+
+_ROWS = f"list_filter(string_split({_T}, chr(10)), lambda x: contains(x, '|'))"
+_HEADS_OF = r"list_filter(list_transform(string_split(rs[1], '|'), lambda h: regexp_replace(h, '^\s+|\s+$', '', 'g')), lambda h: h <> '')"
+_CELLS = f"list_transform(regexp_extract_all({_T}, '(?is)<th[^>]*>(.*?)</th>', 1), lambda h: trim(h))"
 
 
 @_query(
-    """SELECT id, crawl_ts, CASE WHEN has_table THEN 'table' WHEN has_code THEN 'code' ELSE 'text' END AS modality FROM (SELECT id, crawl_ts, regexp_matches(coalesce(text, ''), '(?s)```.*?```|<code>.*?</code>|<pre>.*?</pre>') AS has_code, regexp_matches(coalesce(text, ''), '(?s)\\|.*\\||<table.*?</table>') AS has_table, text FROM chunks)
-WHERE NOT regexp_matches(coalesce(text, ''), '[=$\\\\]') AND NOT regexp_matches(coalesce(text, ''), '^[ \\t\\n\\r\\f]*[{\\[]')"""
+    f"""SELECT id, crawl_ts, CASE WHEN pipes > 4 AND len(rs) >= 2 AND len({_HEADS_OF}) > 0 THEN {_HEADS_OF} WHEN contains({_LOW}, '<table') AND len({_CELLS}) > 0 THEN {_CELLS} END AS names,
+CASE WHEN pipes > 4 AND len(rs) >= 2 AND len({_HEADS_OF}) > 0 THEN len(rs) - 2 WHEN contains({_LOW}, '<table') AND len({_CELLS}) > 0 THEN greatest(0, len(regexp_extract_all({_LOW}, '<tr')) - 1) END::INT AS n_rows
+FROM (SELECT id, crawl_ts, text, length({_T}) - length(replace({_T}, '|', '')) AS pipes, {_ROWS} AS rs FROM chunks)"""
 )
-def modality(spark: SparkSession, folder: str) -> DataFrame:
-    # formulas and JSON are told apart in modality_all
-    t = F.coalesce("text", F.lit(""))
-    f = signals.content_features(F.col("text"))
-    rows = table(spark, folder, "chunks").where(~F.regexp_like(t, F.lit(r"[=$\\]")) & ~F.regexp_like(t, F.lit(r"^[ \t\n\r\f]*[{\[]")))
-    return rows.select("id", "crawl_ts", signals.modality(F.col("text"), f["has_table"], f["has_code"]).alias("modality"))
+def table_schemas(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "chunks").select("id", "crawl_ts", semantics.table_schema(F.col("text")).alias("_t"))
+    return rows.select("id", "crawl_ts", F.transform("_t.columns", lambda c: c["name"]).alias("names"), F.col("_t.rows").alias("n_rows"))
 
 
-@_query()
-def modality_all(spark: SparkSession, folder: str) -> DataFrame:
+_MATH = ["[$][$]?[^$]+[$][$]?", r"(?s)\\begin\{equation\}.*?\\end\{equation\}", r"(?s)\\begin\{align\}.*?\\end\{align\}", r"[A-Za-z]+\s*=\s*[^=]+[+\-*/][^=]+"]
+_FORMULAS = "list_transform(list_concat(" + ", ".join(f"regexp_extract_all({_T}, '{p}')" for p in _MATH) + "), lambda x: trim(x))"
+_FORMULAS = f"list_slice(list_filter(list_transform(range(1, len(fs) + 1), lambda i: CASE WHEN list_position(fs, fs[i]) = i THEN fs[i] END), lambda x: x IS NOT NULL), 1, 10) AS math FROM (SELECT *, {_FORMULAS} AS fs FROM chunks)"
+
+
+@_query(
+    rf"""SELECT id, crawl_ts, CASE WHEN regexp_matches({_T}, '(?s)\|.*\||<table.*?</table>') THEN 'table' WHEN regexp_matches({_T}, '(?s)```.*?```|<code>.*?</code>|<pre>.*?</pre>') THEN 'code' WHEN len(math) > 2 THEN 'equation'
+WHEN regexp_matches({_T}, '^[ \t\n\r\f]*[{{\[]') AND json_valid({_T}) THEN 'metadata' ELSE 'text' END AS modality FROM (SELECT *, {_FORMULAS})"""
+)
+def modality(spark: SparkSession, folder: str) -> DataFrame:
     f = signals.content_features(F.col("text"))
     return table(spark, folder, "chunks").select("id", "crawl_ts", signals.modality(F.col("text"), f["has_table"], f["has_code"]).alias("modality"))
 
 
+@_query(f"SELECT id, crawl_ts, {_FORMULAS}")
+def formulas(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "chunks").select("id", "crawl_ts", semantics.math_expressions(F.col("text")).alias("math"))
+
+
+_BLOCKS = f"list_concat(regexp_extract_all({_T}, '(?s)```\\w*\\n(.*?)```', 1), regexp_extract_all({_T}, '(?s)<code>(.*?)</code>', 1), regexp_extract_all({_T}, '(?s)<pre>(.*?)</pre>', 1))"
+_CODE = _listed([(f"len(list_filter(bs, lambda b: regexp_matches(b, '(?im){p.replace(chr(39), chr(39) * 2)}'))) > 0", n) for n, p in semantics.CODE_PATTERNS.items()])
+
+
+@_query(f"SELECT id, crawl_ts, {_CODE} AS code_langs FROM (SELECT id, crawl_ts, CASE WHEN len({_BLOCKS}) > 0 THEN {_BLOCKS} ELSE [{_T}] END AS bs FROM chunks)")
+def code_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "chunks").select("id", "crawl_ts", semantics.code_languages(F.col("text")).alias("code_langs"))
+
+
+_UNITS = "list_transform(list_concat(" + ", ".join(f"regexp_extract_all({_T}, '(?i)\\b[0-9]+\\s*(?:{u})\\b')" for u in semantics.UNITS) + "), lambda x: trim(regexp_replace(x, '^[0-9\\s.,]+', '')))"
+
+
+@_query(f"SELECT id, crawl_ts, list_slice(list_filter(list_transform(range(1, len(us) + 1), lambda i: CASE WHEN list_position(us, us[i]) = i THEN us[i] END), lambda x: x <> ''), 1, 20) AS units FROM (SELECT id, crawl_ts, {_UNITS} AS us FROM chunks)")
+def units(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "chunks").select("id", "crawl_ts", semantics.units(F.col("text")).alias("units"))
+
+
+_POOR = f"len(list_filter(string_split({_T}, chr(10)), lambda x: regexp_matches(regexp_replace(x, '^[ \\t\\r\\f]+|[ \\t\\r\\f]+$', '', 'g'), '{signals.LOW_SIGNAL_LINES}'))) / len(string_split({_T}, chr(10)))"
+_SHARE = lambda p: f"len(regexp_extract_all({_T}, '{p}')) / greatest(length({_T}), 1)"
+_LINK = r"\[([^\]]+)\]\(([^)]+)\)"
+_LINKED = rf"regexp_matches({_T}, '{_LINK}') AND length(regexp_replace(regexp_replace({_T}, '{_LINK}', '', 'g'), '^[ \t\n\r\f]+|[ \t\n\r\f]+$', '', 'g')) < 50"
+_MARKS_SHARE = _SHARE("[.,;:!?()\\[\\]{}/<>@#$%^&*+=|\\\\`~\"'']")
+
+
+@_query(
+    f"""SELECT id, crawl_ts, round(CASE WHEN n < 40 THEN 0.3 ELSE CASE WHEN poor > 0.5 THEN 0.4 ELSE 1.0 END::DOUBLE * CASE WHEN marks > 0.3 THEN 0.6 ELSE 1.0 END::DOUBLE * CASE WHEN digits > 0.3 THEN 0.6 ELSE 1.0 END::DOUBLE * CASE WHEN links THEN 0.3 ELSE 1.0 END::DOUBLE END::DOUBLE, 6) AS quality,
+n < 40 OR poor > 0.5 OR marks > 0.5 OR digits > 0.5 OR links AS is_low_signal FROM (SELECT id, crawl_ts, len({_WORDS}) AS n, {_POOR} AS poor, {_MARKS_SHARE} AS marks, {_SHARE('[0-9]')} AS digits, {_LINKED} AS links FROM chunks)"""
+)
+def line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    t = F.col("text")
+    rows = table(spark, folder, "chunks").select("id", "crawl_ts", signals.line_quality(t, F.size(signals.words(t))).alias("_q"))
+    return rows.select("id", "crawl_ts", F.round("_q.quality", 6).alias("quality"), F.col("_q.is_low_signal").alias("is_low_signal"))
+
+
 # --- vectors and incremental work --------------------------------------------------------------------
 
 _QUERY_VECTOR = [((i * 7919) % 101 - 50) / 50.0 for i in range(64)]
 
 
-@_query()
+@_query(
+    r"""WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[' || chr(28) || chr(29) || chr(30) || chr(31) || '\s\x0B\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'), lambda x: x <> '')) AS w FROM documents),
+h AS (SELECT doc_id, ('0x' || substr(md5(w), 1, 16))::UBIGINT AS h FROM w), b AS (SELECT doc_id, (h % 64)::INT AS b, sum(CASE WHEN h >= 9223372036854775808 THEN 1 ELSE -1 END) AS v FROM h GROUP BY ALL),
+n AS (SELECT doc_id, map_from_entries(list((b, v))) AS m, sqrt(sum(v * v)) AS norm FROM b GROUP BY doc_id HAVING sum(v * v) > 0)
+SELECT doc_id, list_transform(range(0, 64), lambda i: round(coalesce(m[i::INT], 0) / norm, 4)::DOUBLE) AS embedding, 'hashing-64' AS embedding_model, 64 AS embedding_dim FROM n"""
+)
 def text_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     made = vectors.with_embeddings(table(spark, folder, "documents").select("doc_id", "text"), vectors.hashing_embedder(64), "hashing-64")
-    return vectors.only_embedded(made).select("doc_id", "embedding", "embedding_model", "embedding_dim")
+    rounded = F.transform("embedding", lambda x: F.round(x.cast("double"), 4) + 0.0)
+    return vectors.only_embedded(made).select("doc_id", rounded.alias("embedding"), "embedding_model", "embedding_dim")
 
 
 @_query(
-    f"SELECT id, similarity FROM (SELECT DISTINCT id, round(list_cosine_similarity(embedding::DOUBLE[], {_QUERY_VECTOR}::DOUBLE[]), 6) AS similarity FROM chunk_vectors WHERE len(embedding) = 64 AND id IS NOT NULL AND list_sum(list_transform(embedding, lambda x: x * x)) > 0) ORDER BY similarity DESC, id LIMIT 10"
+    f"SELECT id, round(list_cosine_similarity(embedding::DOUBLE[], {_QUERY_VECTOR}::DOUBLE[]), 6) AS similarity FROM (SELECT DISTINCT id, embedding FROM chunk_vectors WHERE len(embedding) = 64 AND id IS NOT NULL AND list_sum(list_transform(embedding, lambda x: x * x)) > 0) ORDER BY list_cosine_similarity(embedding::DOUBLE[], {_QUERY_VECTOR}::DOUBLE[]) DESC, id LIMIT 10"
 )
 def cosine_topk(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "chunk_vectors").where("id is not null").select("id", "embedding").distinct()
-    q = F.array(*[F.lit(x) for x in _QUERY_VECTOR])
-    scored = rows.select("id", F.round(vectors.cosine(F.col("embedding"), q), 6).alias("similarity")).where("similarity is not null").distinct()
-    return scored.orderBy(F.desc("similarity"), "id").limit(10)
+    return vectors.most_similar(rows, _QUERY_VECTOR, "id").select("id", F.round("similarity", 6).alias("similarity"))
 
 
 @_query("SELECT id, n IS NOT NULL AS reused FROM (SELECT DISTINCT id FROM chunks WHERE id IS NOT NULL) c LEFT JOIN (SELECT id AS k, count(*) AS n FROM chunk_vectors WHERE embedding_model = 'vec-small-2' AND len(embedding) > 0 GROUP BY id) v ON c.id = v.k")
@@ -684,7 +873,11 @@ def output_files(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("id", output_file(F.col("category"), F.lit(""), F.col("id")).alias("file"))
 
 
-@_query()
+_RECORD = ["id", "doc_id", "text", "domain", "modality", "lang", "tokens", "title_hierarchy", "chunk_index", "entities", "citations", "table_schema", "quality_score", "pii", "pii_types", "published_at", "crawl_ts"]
+
+
+@_query(f"SELECT {', '.join(_RECORD)} FROM chunks WHERE id IS NOT NULL")
 def chunk_records(spark: SparkSession, folder: str) -> DataFrame:
-    chunks = table(spark, folder, "chunks")
-    return chunks.select("id", chunk_model.chunk_record(chunks.columns).alias("record"))
+    chunks = table(spark, folder, "chunks").where("id is not null")
+    records = chunks.select(chunk_model.chunk_record(chunks.columns).alias("record"))
+    return records.select(chunk_model.from_record(F.col("record"), chunks.schema).alias("_c")).select("_c.*").select(*_RECORD)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import urllib.error
+import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
@@ -23,16 +24,23 @@ def http_fetch(url: str, timeout: int) -> tuple[bytes, str]:
         return answer.read(), answer.headers.get("Content-Type", "")
 
 
-def fetched(sources: DataFrame, fetch: Fetch = http_fetch, timeout: int = 30, retries: int = 4, delay: float = 1.0, tasks: int = 10) -> DataFrame:
+def fetched(sources: DataFrame, fetch: Fetch = http_fetch, timeout: int = 30, retries: int = 4, delay: float = 1.0, tasks: int | None = None, request_delay: float = 1.0) -> DataFrame:
     """``id, url, content, content_type, error``: every source is tried up to ``retries`` times with growing pauses.
 
+    All sources of a host are one task's, which pauses ``request_delay`` between two requests to it.
+
     Forms are not fetched. A failure is a row with an error, never a failed task.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last: dict[str, float] = {}
         for part in parts:
             out = []
             for name, url in zip(part["id"], part["url"]):
+                host = urllib.parse.urlsplit(url or "").netloc
+                if host:
+                    time.sleep(max(0.0, last.get(host, 0.0) + request_delay - time.monotonic()))
+                    last[host] = time.monotonic()
                 content, kind, error = None, None, None
                 if not url or "docs.google.com/forms" in url or "forms.gle" in url:
                     error = "not fetched"
@@ -47,7 +55,9 @@ def fetched(sources: DataFrame, fetch: Fetch = http_fetch, timeout: int = 30, re
                 out.append((name, url, content, kind, error))
             yield pd.DataFrame(out, columns=["id", "url", "content", "content_type", "error"])
 
-    return sources.select("id", "url").repartition(tasks).mapInPandas(run, "id string, url string, content binary, content_type string, error string")
+    host = F.coalesce(F.regexp_extract("url", "^[^:/?#]+://([^/?#]*)", 1), F.lit(""))
+    rows = sources.select("id", "url")
+    return (rows.repartition(tasks, host) if tasks else rows.repartition(host)).mapInPandas(run, "id string, url string, content binary, content_type string, error string")
 
 
 def to_fetch(sources: DataFrame, kept: DataFrame) -> DataFrame:

@@ -45,6 +45,61 @@ def test_structure_chunks_keep_limits_and_words(lines, strict):
         assert 3 <= c["tokens"] <= 40 and c["title"].startswith("Title")
 
 
+def test_kept_chunks_and_vectors_come_back(spark, tmp_path):
+    at = F.lit("2024-06-30 00:00:00").cast("timestamp_ntz")
+    sources = spark.createDataFrame([("a", "u", "t", "{}"), ("b", None, "t", None)], "id string, url string, title string, tags string")
+    named = state.sources_hash(sources)
+    assert named == state.sources_hash(sources.orderBy(F.desc("id"))) != state.sources_hash(sources.withColumn("title", F.lit("x"))) and named != state.sources_hash(sources.limit(1))
+    chunks = spark.createDataFrame([("1", "x", [1.0], "m", 1), ("2", "y", None, None, None)], "id string, text string, embedding array<float>, embedding_model string, embedding_dim int")
+    folder = str(tmp_path / "kept")
+    state.keep_chunks(chunks, folder, "s1", named, at)
+    state.keep_chunks(chunks.limit(1), folder, "s2", named, at)
+    state.keep_chunks(chunks, folder, "s1", named, at)
+    assert {r.id for r in state.kept_chunks(spark, folder, "s1", named, at).collect()} == {"1", "2"} and state.kept_chunks(spark, folder, "s1", named, at).count() == 2
+    assert state.kept_chunks(spark, folder, "s1", "other", at).count() == 0 and state.kept_chunks(spark, folder, "s1", named, at + F.expr("interval 2 days")).count() == 0
+    vectors_at = str(tmp_path / "vectors")
+    state.keep_embeddings(chunks, vectors_at)
+    state.keep_embeddings(chunks, vectors_at)
+    assert [(r.id, r.embedding) for r in state.reuse_embeddings(chunks, spark.read.parquet(vectors_at), "m").orderBy("id").collect()] == [("1", [1.0]), ("2", None)]
+    sinks.write_chunks(chunks.withColumn("category", F.lit("News")), str(tmp_path / "out"), per="id")
+    assert (tmp_path / "out/chunks/category=news/subcategory=documents/file=1").exists()
+    assert {(r.id, r.text, None if r.embedding is None else tuple(r.embedding)) for r in sinks.read_chunks(spark, str(tmp_path / "out")).collect()} == {("1", "x", (1.0,)), ("2", "y", None)}
+
+
+def test_repeated_rows_and_urls_keep_their_own_chunks(spark):
+    from datetime import datetime
+
+    text = "# Head\n" + "good words go on here and there. " * 60
+    rows = [("https://a.example/x", text), ("https://a.example/x", text), ("https://a.example/x", "other words stand in this one. " * 40), (None, text)]
+    options = chunking.ChunkOptions(60, 10, 5)
+    one = pipeline.to_chunks(spark.createDataFrame(rows[:1], "url string, text string"), datetime(2024, 6, 30), options).count()
+    other = pipeline.to_chunks(spark.createDataFrame(rows[2:3], "url string, text string"), datetime(2024, 6, 30), options).count()
+    every = pipeline.to_chunks(spark.createDataFrame(rows, "url string, text string"), datetime(2024, 6, 30), options)
+    assert every.count() == 3 * one + other and one > 1
+
+
+def test_dates_of_metadata(spark):
+    from quillspark.functions import rights
+
+    rows = [({"datePublished": "2024-05-06", "validFrom": "May 7, 2024", "end_date": "2025-01-01T10:00:00"},), ({"effective_date": "soon"},), (None,)]
+    got = [tuple(None if x is None else str(x) for x in r.t) for r in spark.createDataFrame(rows, "m map<string,string>").select(rights.temporal(F.col("m")).alias("t")).collect()]
+    assert got == [("2024-05-06 00:00:00", None, "2024-05-07 00:00:00", "2025-01-01 10:00:00"), (None,) * 4, (None,) * 4]
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    from quillspark.functions import hashing
+
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+    rows = [(i, " ".join(words[: 12 + i % 3] + [f"w{i // 4}"] * (i % 2) + words[14:])) for i in range(60)] + [(60, None), (61, "")]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    prints = {}
+    for r in frame.select("doc_id", hashing.simhash(F.col("text")).alias("p")).collect():
+        if r.p:
+            prints.setdefault(r.p & (2**64 - 1), r.doc_id)
+    expected = {(min(a, b), max(a, b), bin(x ^ y).count("1")) for x, a in prints.items() for y, b in prints.items() if x < y and bin(x ^ y).count("1") <= 3}
+    assert {tuple(r) for r in dedup.near_duplicate_classes(frame).collect()} == expected
+
+
 def test_headings_clear_deeper_ones():
     s = chunking.sections_of("# A\n## B\ntext\n# C\nmore", "T")
     assert [(x.heading, x.parents) for x in s if x.heading] == [("T", []), ("A", []), ("B", ["A"]), ("C", [])]
