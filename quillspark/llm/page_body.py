@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,13 +138,16 @@ def common_words(pages: DataFrame) -> frozenset[str]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            times: dict[tuple[str, str], int] = defaultdict(int)
-            for text, domain in zip(batch.column("text").to_pylist(), batch.column("domain").to_pylist()):
-                for word in set(_WORD.findall(text.lower())):
-                    times[word, domain] += 1
-            yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in times], pa.string()), "domain": pa.array([d for _, d in times], pa.string()), "n": pa.array(list(times.values()), pa.int64())})
-
-    counted = pages.select("text", "domain").mapInArrow(count, "word string, domain string, n bigint").groupBy("word", "domain").agg(F.sum("n").alias("n"))
+            tokens = pc.split_pattern_regex(pc.utf8_lower(batch.column("text")), r"\P{L}+")
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(tokens).to_numpy(zero_copy_only=False))
+            words, sites = tokens.flatten().dictionary_encode(), batch.column("domain").dictionary_encode()
+            once = np.unique(words.indices.to_numpy().astype(np.int64) * batch.num_rows + row)  # a word once a page
+            site = sites.indices.to_numpy().astype(np.int64)[once % batch.num_rows]
+            pair, n = np.unique(once // batch.num_rows * len(sites.dictionary) + site, return_counts=True)
+            word, domain = words.dictionary.take(pa.array(pair // len(sites.dictionary))), sites.dictionary.take(pa.array(pair % len(sites.dictionary)))
+            yield pa.RecordBatch.from_pydict({"word": word, "domain": domain, "n": pa.array(n, pa.int64())})
+
+    counted = pages.select("text", "domain").mapInArrow(count, "word string, domain string, n bigint").where("word <> ''").groupBy("word", "domain").agg(F.sum("n").alias("n"))
     words = counted.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("sites"))
     often = (F.col("n") >= 6) & ((F.col("sites") >= 3) | (F.col("n") >= 40)) | (F.length("word") < 4)
     return frozenset(words.where(often).select("word").toArrow().column("word").to_pylist())
@@ -160,7 +164,7 @@ def train(pages: list[tuple[str, str | None]], common: frozenset[str], rounds: i
     return model
 
 
-def furniture(chunks: DataFrame, sample: int = 2500, threshold: float = 0.5) -> DataFrame:
+def furniture(chunks: DataFrame, sample: int = 2500) -> DataFrame:
     """``id, line_no, furniture``: the probability, for each non-blank line of a page, of not being body.
 
     Pages are chunks of format html with a text and an id; others have no rows. A page delivered twice
