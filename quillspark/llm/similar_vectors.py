@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.llm.staging import staged
+
 PLANES = 4
 
 
@@ -171,7 +173,7 @@ def _raw(column: pa.Array, dim: int) -> tuple[np.ndarray, list[bytes]]:
 
 def nearest(
     df: DataFrame, key: str = "id", embedding: str = "embedding", dim: int = 128, k: int = 5, least: float = -1.0, cells: int | None = None, overlap: int | None = 3,
-    coarser: int = 1, block: int = 16_384, width: float = 2.5, tie: float = 1e-6,
+    coarser: int = 1, block: int = 16_384, width: float = 2.5, tie: float = 1e-6, broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """``class, neighbour, similarity, n_records``: for every class of records the classes that fewer than ``k`` other records beat.
 
@@ -185,7 +187,8 @@ def nearest(
     root too. Every vector is indexed in its ``overlap`` nearest cells; without an ``overlap`` it is 3 up
     to 15 cells and grows with more, as neighbours of little similarity would share ever fewer cells. A
     task merges equal vectors before they move. A cell that the sample shows to be larger than ``block``
-    is cut into blocks; a task has one block's classes as queries against one block's classes.
+    is cut into blocks; a task has one block's classes as queries against one block's classes. The sizes
+    of classes of several records are broadcast if there are at most ``broadcast_rows`` (of 24 bytes).
     """
     spark = df.sparkSession
     source = _usable(df, key, embedding, dim)
@@ -234,12 +237,22 @@ def nearest(
     turn = rotation(dim)
     in_cells = source.mapInArrow(spread, "cell int, query_block int, block int, role byte, class binary, vector binary")
     found = in_cells.groupBy("cell", "query_block", "block").applyInArrow(lambda t: _cell_neighbours(t, centroids, turn, k, least, width, tie), "class binary, neighbour binary, similarity double")
-    several = members(df, key, embedding, dim).groupBy("class").agg(F.count("*").alias("_n")).where("_n > 1")
-    best = found.groupBy("class", "neighbour").agg(F.max("similarity").alias("similarity"))
-    sized = best.join(several.select(F.col("class").alias("_of"), "_n"), F.col("neighbour") == F.col("_of"), "left").select("class", "neighbour", "similarity", F.coalesce("_n", F.lit(1)).alias("n_records"))
+    several = staged(members(df, key, embedding, dim).groupBy("class").agg(F.count("*").alias("_n")).where("_n > 1"), "classes")
+    few = several.count() <= broadcast_rows  # from the files' footers
+
+    def sizes(of: str, n: str) -> DataFrame:
+        rows = several.select(F.col("class").alias(of), F.col("_n").alias(n))
+        return F.broadcast(rows) if few else rows
+
+    # one shuffle by class serves the best similarity of each pair and the ranks
+    best = found.repartition("class").groupBy("class", "neighbour").agg(F.max("similarity").alias("similarity"))
+    sized = best.join(sizes("_a", "_na"), F.col("class") == F.col("_a"), "left").join(sizes("_b", "_nb"), F.col("neighbour") == F.col("_b"), "left")
+    sized = sized.select("class", "neighbour", "similarity", F.coalesce("_nb", F.lit(1)).alias("n_records"), (F.coalesce("_na", F.lit(1)) - 1).alias("_own"))
+    nearer = F.sum("n_records").over(Window.partitionBy("class").orderBy(F.col("similarity") * (-1.0 / tie)).rangeBetween(Window.unboundedPreceding, -1))
+    better = F.coalesce(nearer, F.lit(0)) + F.when(F.col("similarity") < 1 - tie, F.col("_own")).otherwise(0)
+    others = sized.withColumn("_better", better).where(F.col("_better") < k).drop("_better", "_own")
     own = several.where(F.lit(least <= 1)).select("class", F.col("class").alias("neighbour"), F.lit(1.0).alias("similarity"), (F.col("_n") - 1).alias("n_records"))
-    better = F.sum("n_records").over(Window.partitionBy("class").orderBy(F.col("similarity") * (-1.0 / tie)).rangeBetween(Window.unboundedPreceding, -1))
-    return sized.unionByName(own).withColumn("_better", F.coalesce(better, F.lit(0))).where(F.col("_better") < k).drop("_better")
+    return others.unionByName(own)
 
 
 def digest_of(vector: bytes) -> bytes:

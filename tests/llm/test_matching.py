@@ -105,8 +105,9 @@ def test_copies_count_among_the_nearest(spark):
         rows = [(f"v{i}", v.tolist()) for i, v in enumerate(x)] + [(f"c{i}", x[0].tolist()) for i in range(n - 1)] + [("v1", x[1].tolist())]
         frame = spark.createDataFrame(rows, "id string, embedding array<float>")
         ids, vectors = [r[0] for r in rows[:-1]], np.array([r[1] for r in rows[:-1]], np.float32).astype(float)
-        got = {(r.id_a, r.id_b) for r in similar_vectors.similar_pairs(similar_vectors.nearest(frame, dim=16, cells=1), similar_vectors.members(frame, dim=16), -1).collect()}
-        assert got == brute_pairs(ids, vectors, 5, -1)
+        for most in (500_000, 0):
+            links = similar_vectors.nearest(frame, dim=16, cells=1, broadcast_rows=most)
+            assert {(r.id_a, r.id_b) for r in similar_vectors.similar_pairs(links, similar_vectors.members(frame, dim=16), -1).collect()} == brute_pairs(ids, vectors, 5, -1)
 
 
 def test_bounds_hold():
