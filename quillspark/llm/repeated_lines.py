@@ -6,8 +6,8 @@ pattern's projected database, the suffixes behind its occurrences, is scanned fo
 until no pattern has support any more. The gap rule is that a pattern goes on with the next line of the
 suffix, so infrequent lines may lie between two lines of a pattern and frequent ones may not.
 
-Every occurrence of a frequent sequence is deleted. As each line of a frequent sequence is itself a
-frequent sequence of one line, the lines to delete are known after the first scan.
+Every occurrence of a frequent sequence is deleted: growth leaves at each place the longest pattern that
+starts there, and the lines these cover go.
 """
 
 from __future__ import annotations
@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.staging import staged
 
+#: Lines of its suffix that a place carries from round to round.
+AHEAD = 32
+
 
 def normal_line(line: Column) -> Column:
     """Lower case, white space of any kind as one space, digits as one ``0``, trimmed."""
@@ -41,56 +44,94 @@ def line_rows(chunks: DataFrame) -> DataFrame:
     return _lines(chunks).withColumn("item", F.xxhash64("domain", "line")).drop("line")
 
 
-def _supported(rows: DataFrame, pattern: str, support: int) -> DataFrame:
-    """``pattern, domain, n_documents`` of what ``support`` different documents have.
+def _supported(rows: DataFrame, pattern: str, support: int, *same: str) -> DataFrame:
+    """``pattern, n_documents`` and the columns ``same``, equal in all rows of a pattern, of what ``support`` different documents have.
 
     Supports are counted per pattern and document before they are summed up, so a site, or a line, with a
     third of all rows is spread over all tasks.
     """
-    once = rows.groupBy(pattern, "doc_id").agg(F.min("domain").alias("domain"))
-    return once.groupBy(pattern).agg(F.min("domain").alias("domain"), F.count("*").alias("n_documents")).where(F.col("n_documents") >= support)
+    once = rows.groupBy(pattern, "doc_id").agg(F.lit(1).alias("_one"), *(F.min(c).alias(c) for c in same))
+    return once.groupBy(pattern).agg(F.count("*").alias("n_documents"), *(F.min(c).alias(c) for c in same)).where(F.col("n_documents") >= support)
 
 
-def frequent_sequences(chunks: DataFrame, support: int = 6) -> DataFrame:
-    """``domain, lines, length, n_documents`` of all line sequences that ``support`` documents of a site have.
+def _grown(chunks: DataFrame, support: int) -> tuple[list[DataFrame], DataFrame]:
+    """Frequent patterns by length, and the longest one that starts at each frequent line.
 
-    ``lines`` are in their compared form. A chunk delivered twice counts once. Patterns of any length come
-    out: rounds end when no projected database has a line with support.
+    Patterns are ``pattern, n_documents, parent, item``: the identifier, that of the pattern without its last
+    line, and this line; of those of one line the identifier is the line's. Places are ``seq, id, start, line_no,
+    length``, ``start`` counted in the frequent lines of the sequence ``seq``.
+
+    A projected database holds a row a place: a pointer to it and the next ``AHEAD`` lines of its suffix, which
+    are read anew from the sequences when they are used up, so long sequences aren't copied for every place.
     """
     rows = staged(line_rows(chunks), "lines")
     first = staged(_supported(rows, "item", support), "patterns")
     kept = rows.join(first.select("item"), "item", "left_semi")
     sequences = kept.groupBy("id", "doc_id", "domain").agg(F.array_sort(F.collect_set(F.struct("line_no", "item"))).alias("_s"))
-    sequences = sequences.select("doc_id", "domain", F.transform("_s", lambda x: x["item"]).alias("_s"))
-    found = [first.select("domain", F.array("item").alias("items"), "n_documents")]
-    # projected databases of the patterns of one line: what stands behind each place of the line
-    projected = sequences.select("doc_id", "domain", "_s", F.posexplode("_s").alias("_i", "item"))
-    projected = projected.select("doc_id", "domain", F.array("item").alias("items"), F.slice("_s", F.col("_i") + 2, F.size("_s")).alias("suffix"))
+    sequences = staged(sequences.select(F.monotonically_increasing_id().alias("seq"), "id", "doc_id", "_s"), "sequences")
+    items = F.col("_s")["item"]
+    places = sequences.select("seq", "id", "doc_id", "_s", F.posexplode("_s").alias("start", "_l"))
+    projected = places.select(
+        "seq", "id", "doc_id", "start", F.col("_l")["line_no"].alias("line_no"), F.col("_l")["item"].alias("pattern"), F.slice(items, F.col("start") + 2, AHEAD).alias("ahead")
+    )
+    more, length = F.size("ahead") > 0, 1
+    patterns, ends = [first.withColumnRenamed("item", "pattern")], [projected.where(~more).withColumn("length", F.lit(1))]
     while True:
-        grown = projected.where(F.size("suffix") > 0).select(
-            "doc_id", "domain", F.array_append("items", F.get("suffix", F.lit(0))).alias("items"), F.slice("suffix", 2, F.greatest(F.size("suffix") - 1, F.lit(1))).alias("suffix")
+        grown = projected.where(more).select(
+            "seq", "id", "doc_id", "start", "line_no", F.col("pattern").alias("parent"), F.get("ahead", F.lit(0)).alias("item"), F.slice("ahead", 2, AHEAD).alias("ahead")
         )
-        grown = staged(grown.withColumn("pattern", F.xxhash64("domain", "items")), "projected")
-        alive = staged(_supported(grown, "pattern", support), "patterns")
+        grown = grown.withColumn("pattern", F.xxhash64("parent", "item"))
+        alive = staged(_supported(grown, "pattern", support, "parent", "item"), "patterns")
         if alive.isEmpty():
+            ends.append(projected.where(more).withColumn("length", F.lit(length)))
             break
-        projected = grown.join(alive.select("pattern"), "pattern", "left_semi")
-        items = projected.groupBy("pattern").agg(F.min("items").alias("items"))
-        found.append(alive.join(items, "pattern").select("domain", "items", "n_documents"))
+        patterns.append(alive)
+        placed = grown.drop("parent", "item").join(alive.select("pattern", F.lit(True).alias("alive")), "pattern", "left")
+        length += 1
+        if (length - 1) % AHEAD == 0:
+            placed = placed.drop("ahead").join(sequences.select("seq", "_s"), "seq").withColumn("ahead", F.slice(items, F.col("start") + length + 1, AHEAD)).drop("_s")
+        placed = staged(placed, "projected")
+        # a place ends with the pattern before if the grown one has no support, or with its sequence
+        ends.append(placed.where(F.col("alive").isNull() | ~more).withColumn("length", F.when(F.col("alive"), length).otherwise(length - 1)))
+        projected = placed.where("alive")
+    return patterns, reduce(DataFrame.unionByName, [x.select("seq", "id", "start", "line_no", "length") for x in ends])
+
+
+def frequent_sequences(chunks: DataFrame, support: int = 6) -> DataFrame:
+    """``domain, lines, length, n_documents`` of all line sequences that ``support`` documents of a site have.
+
+    ``lines`` are in their compared form. A chunk delivered twice counts once. Patterns of any length come
+    out: rounds end when no projected database has a line with support.
+    """
+    first, *longer = _grown(chunks, support)[0]
+    found = [first.select("pattern", F.array("pattern").alias("items"), "n_documents")]
+    for alive in longer:
+        before = found[-1].select(F.col("pattern").alias("parent"), "items")
+        found.append(staged(alive.join(before, "parent").select("pattern", F.array_append("items", F.col("item")).alias("items"), "n_documents"), "patterns"))
     patterns = reduce(DataFrame.unionByName, found)
     # line identifiers as their lines
-    named = _lines(chunks).select(F.xxhash64("domain", "line").alias("item"), "line").join(first.select("item"), "item", "left_semi")
-    named = named.groupBy("item").agg(F.min("line").alias("line"))
-    placed = patterns.select("domain", "items", "n_documents", F.posexplode("items").alias("_i", "item")).join(named, "item")
+    named = _lines(chunks).select(F.xxhash64("domain", "line").alias("item"), "domain", "line").join(first.select(F.col("pattern").alias("item")), "item", "left_semi")
+    named = named.groupBy("item").agg(F.min("domain").alias("domain"), F.min("line").alias("line"))
+    placed = patterns.select("items", "n_documents", F.posexplode("items").alias("_i", "item")).join(named, "item")
     whole = placed.groupBy("domain", "items", "n_documents").agg(F.array_sort(F.collect_list(F.struct("_i", "line"))).alias("_l"))
     return whole.select("domain", F.transform("_l", lambda x: x["line"]).alias("lines"), F.size("items").alias("length"), "n_documents")
 
 
+def occurrences(chunks: DataFrame, support: int = 6) -> DataFrame:
+    """``id, line_nos`` of the occurrences of frequent sequences that lie in no longer occurrence.
+
+    At each line the longest frequent sequence that starts there is taken; one that the line before has too,
+    longer by this line, is part of that.
+    """
+    ends = _grown(chunks, support)[1]
+    whole = ends.groupBy("seq", "id").agg(F.array_sort(F.collect_list(F.struct("start", "line_no", "length"))).alias("_e"))
+    each = whole.select("id", "_e", F.posexplode("_e").alias("_i", "_x")).where(F.coalesce(F.get(F.col("_e")["length"], F.col("_i") - 1) <= F.col("_x")["length"], F.lit(True)))
+    return each.select("id", F.slice(F.col("_e")["line_no"], F.col("_i") + 1, F.col("_x")["length"]).alias("line_nos"))
+
+
 def repeated_lines(chunks: DataFrame, support: int = 6) -> DataFrame:
     """``id, line_no`` of the lines that an occurrence of a frequent sequence covers, each once."""
-    rows = staged(line_rows(chunks), "lines")
-    frequent = _supported(rows, "item", support).select("item")
-    return rows.join(frequent, "item", "left_semi").select("id", "line_no").distinct()
+    return occurrences(chunks, support).select("id", F.explode("line_nos").alias("line_no")).distinct()
 
 
 def without_repeated_lines(chunks: DataFrame, support: int = 6) -> DataFrame:

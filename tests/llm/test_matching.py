@@ -48,6 +48,43 @@ def test_sequences_of_any_length_are_found(spark):
     assert repeated_lines.frequent_sequences(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_repeated_lines_are_those_that_grown_sequences_cover(spark, monkeypatch):
+    rng = random.Random(5)
+    menu = [f"menu {chr(97 + n)}" for n in range(7)]
+    rows = []
+    for i in range(60):
+        a, b = sorted(rng.sample(range(8), 2))
+        lines = [*menu[a:b], f"own {chr(97 + i % 26)} {chr(97 + i // 26)}", *rng.sample(["terms", "share", *menu], rng.randint(0, 3))]
+        rows.append((f"c{i}", f"d{i % 25}", "a" if i % 3 else "b", "\n".join(lines), None, "", ""))
+    rows += [(f"e{i}", f"e{i}", "a", "\n".join(menu), None, "", "") for i in range(6)] + [rows[2]]
+    frame = spark.createDataFrame(rows, SCHEMA)
+
+    def supports(sequences):
+        docs = {}
+        for (_, d, g), s in sequences.items():
+            for i in range(len(s)):
+                for j in range(i + 1, len(s) + 1):
+                    docs.setdefault((g, *(x for _, x in s[i:j])), set()).add(d)
+        return {p for p, v in docs.items() if len(v) >= 6}
+
+    lines = {(i, d, g): list(enumerate(t.split("\n"))) for i, d, g, t, *_ in rows}
+    single = supports({(f"{i}.{n}", d, g): [(n, x)] for (i, d, g), s in lines.items() for n, x in s})
+    sequences = {k: [x for x in s if (k[2], x[1]) in single] for k, s in lines.items()}
+    frequent = supports(sequences)
+    expected = set()
+    for (i, _, g), s in sequences.items():
+        places = {(a, b) for a in range(len(s)) for b in range(a + 1, len(s) + 1) if (g, *(x for _, x in s[a:b])) in frequent}
+        expected |= {(i, tuple(n for n, _ in s[a:b])) for a, b in places if not any((c <= a and b <= d) and (c, d) != (a, b) for c, d in places)}
+    assert {len(n) for _, n in expected} >= {1, 2, 3, 7}
+    for ahead in (32, 2):
+        monkeypatch.setattr(repeated_lines, "AHEAD", ahead)
+        assert {(r.id, tuple(r.line_nos)) for r in repeated_lines.occurrences(frame).collect()} == expected
+    # a line is deleted because an occurrence covers it: with the longer ones only, others stay
+    whole = repeated_lines.occurrences
+    monkeypatch.setattr(repeated_lines, "occurrences", lambda *a: whole(*a).where("size(line_nos) > 1"))
+    assert {(r.id, r.line_no) for r in repeated_lines.repeated_lines(frame).collect()} == {(i, n) for i, ns in expected if len(ns) > 1 for n in ns}
+
+
 def brute_pairs(ids, x, k, least):
     x = x / np.linalg.norm(x, axis=1)[:, None]
     s = x @ x.T
